@@ -1,0 +1,174 @@
+"""Streams give what the batch operators give, cut where the watermark stands at the end of the input."""
+
+import random
+import time
+from dataclasses import replace
+from datetime import timedelta
+
+import pytest
+from conftest import START, seconds_of
+from pyspark.sql import functions as F
+
+from tickflow.functions.records import HIGHER, LOWER, MOVING, TICK, ZSCORE, decode, encode
+from tickflow.operators import moving, shortest, zscore
+from tickflow.plans.jobs import JobConfig, job_writers
+from tickflow.plans.params import REFERENCE
+from tickflow.sources.documents import FileStore
+from tickflow.sources.topics import (
+    HIGHER_TOPIC,
+    LOWER_TOPIC,
+    MOVING_TOPIC,
+    TICKS_TOPIC,
+    ZSCORE_TOPIC,
+    FileTopics,
+)
+from tickflow.streaming import moving as stream_moving, shortest as stream_shortest, zscore as stream_zscore
+from tickflow.streaming.replay import run_in_waves
+from tickflow.streaming.runner import run_available, scratch_folder, state_store
+
+PARAMS = REFERENCE.only("30s", "1m")
+
+
+def ordered_ticks(seed=3, n=240):
+    """Increasing times on the 100 ms grid, two symbols, over about four minutes; some on window ends."""
+    r = random.Random(seed)
+    times = sorted(r.sample(range(2400), n) + list(range(100, 2400, 100)))
+    return [(at / 10, float(r.randrange(100)), r.choice("AB")) for at in times]
+
+
+@pytest.fixture(scope="module")
+def waves(spark, make_ticks):
+    """The ordered ticks in four arrival waves."""
+    ticks = make_ticks(*ordered_ticks())
+    second = F.unix_micros("event_time") / 1e6 - START.timestamp()
+    return ticks.withColumn("arrival", F.least(F.lit(3), F.floor(second / 60)).cast("int")).persist()
+
+
+def same(actual, expected):
+    assert actual.count() > 0
+    assert actual.exceptAll(expected).count() == 0 and expected.exceptAll(actual).count() == 0
+
+
+def rounded(stats):
+    return stats.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in sorted(stats.dtypes)])
+
+
+def last_time(waves):
+    return waves.agg(F.max("event_time")).first()[0]
+
+
+def test_moving_stats_in_waves(waves):
+    actual = run_in_waves(waves, 4, lambda s: stream_moving.stream_window_ends(s, PARAMS))
+    # The last slide boundary before the last tick, less the allowed delay.
+    end = last_time(waves)
+    watermark = end - timedelta(seconds=seconds_of(end) % 10) - PARAMS.moving_delay
+    batch = moving.moving_stats(waves.drop("arrival"), PARAMS)
+    same(rounded(actual), rounded(batch.filter(F.col("timestamp") <= F.lit(watermark))))
+
+
+def test_join_form_in_waves_and_its_state_is_released(spark, waves):
+    actual = run_in_waves(waves, 4, lambda s: stream_moving.stream_moving_stats_join(s, PARAMS))
+    watermark = last_time(waves) - PARAMS.moving_delay
+    batch = moving.moving_stats(waves.drop("arrival"), PARAMS)
+    same(rounded(actual), rounded(batch.filter(F.col("timestamp") <= F.lit(watermark))))
+
+
+def test_state_is_bounded(spark, waves, tmp_path):
+    waves.drop("arrival").write.parquet(f"{tmp_path}/in")
+    for build, most in (
+        (lambda s: stream_moving.stream_moving_stats_join(s, PARAMS), 40),
+        (lambda s: stream_zscore.stream_zscore_of_ticks(s, PARAMS), 60),
+        (lambda s: stream_shortest.stream_shortest_windows(s, REFERENCE), 250),
+    ):
+        stream = build(spark.readStream.schema(TICK).parquet(f"{tmp_path}/in"))
+        folder = scratch_folder(spark)
+        sink = stream.writeStream.format("parquet").option("path", f"{folder}/out").outputMode("append")
+        query = run_available(sink, f"{folder}/checkpoint", spark)
+        held = sum(s["numRowsTotal"] for s in query.lastProgress["stateOperators"])
+        assert held < most, query.lastProgress["stateOperators"]
+
+
+def test_zscore_in_waves(waves):
+    actual = run_in_waves(waves, 4, lambda s: stream_zscore.stream_zscore_of_ticks(s, PARAMS))
+    end = last_time(waves)
+    slide_end = end - timedelta(seconds=seconds_of(end) % 10)
+    watermark = min(end - PARAMS.zscore_tick_delay, slide_end - PARAMS.zscore_moving_delay)
+    ticks = waves.drop("arrival")
+    stats = moving.as_array(moving.moving_stats(ticks, PARAMS).filter(F.col("timestamp") <= F.lit(watermark)), PARAMS)
+    batch = zscore.zscore(ticks, stats, PARAMS)
+    flat = [moving.by_window(rows, "zscores") for rows in (actual, batch)]
+    same(rounded(flat[0]), rounded(flat[1]))
+
+
+def test_shortest_in_waves(waves):
+    actual = run_in_waves(waves, 4, lambda s: stream_shortest.stream_shortest_windows(s, REFERENCE))
+    watermark = last_time(waves) - REFERENCE.shortest_delay - REFERENCE.horizon
+    batch = shortest.shortest_windows(waves.drop("arrival"), REFERENCE)
+    same(actual, batch.filter(F.col("timestamp") < F.lit(watermark)))
+
+
+def test_late_ticks(spark, make_ticks):
+    """t=3 arrives while its window is open and counts; t=45 arrives after the watermark (50 s) and does not."""
+    params = replace(REFERENCE, windows=(("10s", timedelta(seconds=10)),))
+    arrivals = [(1, 0), (2, 0), (15, 0), (3, 1), (60, 1), (45, 2), (200, 2)]
+    ticks = make_ticks(*[(at, 1.0) for at, _ in arrivals])
+    second = F.round(F.unix_micros("event_time") / 1e6 - START.timestamp())
+    arrival = F.lit(None)
+    for at, wave in arrivals:
+        arrival = F.when(second == at, wave).otherwise(arrival)
+    counts = run_in_waves(
+        ticks.withColumn("arrival", arrival), 3, lambda s: stream_moving.stream_window_counts(s, params, "10s")
+    )
+    assert {seconds_of(r["timestamp"]): r["n"] for r in counts.collect()} == {10: 3, 20: 1, 70: 1}
+
+
+def test_state_provider_is_put_back(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    with state_store(spark):
+        assert "RocksDB" in spark.conf.get(name)
+    assert spark.conf.get(name, None) == before
+
+
+def test_scratch_folder_is_below_the_shared_one(spark):
+    assert scratch_folder(spark).startswith(f"{spark.conf.get('spark.checkpoint.dir')}/tickflow-")
+    assert scratch_folder(spark) != scratch_folder(spark)
+
+
+def run_job(spark, name, config, root):
+    for query, writer in job_writers(spark, name, config).items():
+        run_available(writer, f"{root}/checkpoints/{query}", spark)
+
+
+def test_whole_pipeline_over_file_topics(spark, waves, tmp_path):
+    """Ticks through every job, in two rounds on the same checkpoints: no loss and no repetition."""
+    topics, store = FileTopics(f"{tmp_path}/topics"), FileStore(f"{tmp_path}/store")
+    config = JobConfig(topics, store, PARAMS, ingest_limit=None)
+    for part in (F.col("arrival") < 2, F.col("arrival") >= 2):
+        topics.write(encode(waves.filter(part), TICK), TICKS_TOPIC)
+        time.sleep(0.01)
+        for name in ("moving", "zscore", "shortest", "load", "load_windows"):
+            run_job(spark, name, config, tmp_path)
+
+    ticks = waves.drop("arrival")
+    end = last_time(waves)
+    watermark = end - timedelta(seconds=seconds_of(end) % 10) - PARAMS.moving_delay
+    stats = moving.moving_stats(ticks, PARAMS).filter(F.col("timestamp") <= F.lit(watermark))
+    records = decode(topics.replay(spark, MOVING_TOPIC), MOVING)
+    same(rounded(moving.by_window(records, "windows")), rounded(moving.by_window(moving.as_array(stats, PARAMS), "windows")))
+
+    scores = zscore.zscore(ticks, moving.as_array(stats, PARAMS), PARAMS)
+    expected = rounded(moving.by_window(scores, "zscores"))
+    same(rounded(moving.by_window(decode(topics.replay(spark, ZSCORE_TOPIC), ZSCORE), "zscores")), expected)
+    same(rounded(moving.by_window(store.read(spark, "btc-price-zscore"), "zscores")), expected)
+    same(rounded(store.read(spark, "btc-price-zscore").select("timestamp").distinct()), rounded(scores.select("timestamp").distinct()))
+    same(
+        rounded(store.read(spark, "btc-price-moving").select("timestamp", "symbol", "window", "avg_price")),
+        rounded(moving.by_window(moving.as_array(stats, PARAMS), "windows").select("timestamp", "symbol", "window", "avg_price")),
+    )
+
+    out = end - PARAMS.shortest_delay - PARAMS.horizon
+    windows = shortest.shortest_windows(ticks, PARAMS).filter(F.col("timestamp") < F.lit(out))
+    for topic, schema, column in ((HIGHER_TOPIC, HIGHER, "higher_window"), (LOWER_TOPIC, LOWER, "lower_window")):
+        same(decode(topics.replay(spark, topic), schema), windows.select("timestamp", column))
+        same(store.read(spark, topic).select("timestamp", column), windows.select("timestamp", column))

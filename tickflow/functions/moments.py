@@ -1,64 +1,70 @@
 """Mergeable first and second moments of the prices in a span of time.
 
-A moments value is a struct (ticks, n, mean, m2): rows seen, non-NULL prices, their mean and their sum of squared
-deviations. Merging works on differences of means (Chan et al.), so equal prices give m2 = 0 exactly and large prices
-with a small spread keep their digits, which differences of running sums would not.
+The moments of a span are four columns: ticks (rows), n (prices that are not NULL), mean, and m2, the sum of squared
+deviations from the mean. Merging works on differences of means (Chan et al.), so equal prices give m2 = 0 exactly and
+large prices with a small spread keep their digits, which differences of running sums would not.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _if_equal(price: Column, value: Column, otherwise: Column) -> Column:
+    return F.when(F.min(price) == F.max(price), value).otherwise(otherwise)
+
+
+def exact_avg(price: Column) -> Column:
+    """``avg``; for equal prices that price itself, which their sum divided by their number need not be."""
+    return _if_equal(price, F.min(price), F.avg(price))
+
+
+def exact_stddev(price: Column) -> Column:
+    """``stddev``; for two or more equal prices exactly 0, where merged partial results leave a trace of rounding."""
+    return _if_equal(price, F.when(F.count(price) > 1, 0.0), F.stddev_samp(price))
+
+
 def price_moments(price: Column) -> list[Column]:
     """Aggregates whose partial results Spark combines before the shuffle."""
     n = F.count(price)
     return [
         F.count(F.lit(1)).alias("ticks"),
         n.alias("n"),
-        F.coalesce(F.avg(price), F.lit(0.0)).alias("mean"),
-        F.coalesce(F.var_pop(price) * n, F.lit(0.0)).alias("m2"),
+        exact_avg(price).alias("mean"),
+        _if_equal(price, F.lit(0.0), F.var_pop(price) * n).alias("m2"),
     ]
 
 
-def empty_moments() -> Column:
-    return F.struct(
-        F.lit(0).cast("bigint").alias("ticks"),
-        F.lit(0).cast("bigint").alias("n"),
-        F.lit(0.0).alias("mean"),
-        F.lit(0.0).alias("m2"),
-    )
+@dataclass(frozen=True)
+class Span:
+    """SQL text for the moments of one span; mean and m2 count only where n > 0."""
 
+    n: str
+    mean: str
+    m2: str
 
-def merged_mean(parts: list[Column]) -> Column:
-    """Mean of all parts, computed around the mean of the first part that is not empty."""
-    n = merged_count(parts, "n")
-    base = F.coalesce(*[F.when(p["n"] > 0, p["mean"]) for p in parts])
-    shift = reduce(add, [F.when(p["n"] > 0, (p["mean"] - base) * p["n"]).otherwise(0.0) for p in parts])
-    return F.when(n > 0, base + shift / n).otherwise(0.0)
 
+def merged_n(spans: list[Span]) -> str:
+    return " + ".join(s.n for s in spans)
 
-def merged_m2(parts: list[Column], mean: Column) -> Column:
-    """Sum of squared deviations of all parts around their common ``mean``."""
-    spread = [
-        F.when(p["n"] > 0, p["m2"] + p["n"] * (p["mean"] - mean) * (p["mean"] - mean)).otherwise(0.0)
-        for p in parts
-    ]
-    return reduce(add, spread)
 
+def merged_mean(spans: list[Span]) -> str:
+    """Mean of all spans, computed around the mean of the first that is not empty; NULL if all are empty."""
+    base = "coalesce(" + ", ".join(f"IF({s.n} > 0, {s.mean}, NULL)" for s in spans) + ")"
+    shift = " + ".join(f"IF({s.n} > 0, ({s.mean} - {base}) * {s.n}, 0D)" for s in spans)
+    return f"{base} + ({shift}) / nullif({merged_n(spans)}, 0)"
 
-def merged_count(parts: list[Column], field: str) -> Column:
-    return reduce(add, [p[field] for p in parts])
 
-
-def average(moments: Column) -> Column:
-    return F.when(moments["n"] > 0, moments["mean"])
+def merged_m2(spans: list[Span], mean: str) -> str:
+    """Sum of squared deviations of all spans around their common ``mean``."""
+    return " + ".join(
+        f"IF({s.n} > 0, {s.m2} + {s.n} * ({s.mean} - {mean}) * ({s.mean} - {mean}), 0D)" for s in spans
+    )
 
 
-def sample_stddev(moments: Column) -> Column:
+def sample_stddev(n: str, m2: str) -> str:
     """NULL below two prices, like ``stddev``."""
-    return F.when(moments["n"] > 1, F.sqrt(moments["m2"] / (moments["n"] - 1)))
+    return f"IF({n} > 1, sqrt({m2} / ({n} - 1)), NULL)"

@@ -18,18 +18,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickflow.functions.moments import (
-    average,
-    empty_moments,
-    merged_count,
-    merged_m2,
-    merged_mean,
-    price_moments,
-    sample_stddev,
-)
+from tickflow.functions.moments import Span, merged_m2, merged_mean, merged_n, price_moments, sample_stddev
 from tickflow.functions.timegrid import floor_div, grid_index, grid_time
 from tickflow.plans.params import TickParams
 
+BLOCK_KEYS = ("symbol", "block")
+
 
 def tick_panes(ticks: DataFrame, params: TickParams) -> DataFrame:
     """Price moments per symbol and pane of one slide."""
@@ -43,7 +37,7 @@ def tick_panes(ticks: DataFrame, params: TickParams) -> DataFrame:
 def combination_steps(lengths: list[int]) -> list[tuple[int, list[tuple[int, int]]]]:
     """How to build windows of the given lengths (in panes) from shorter ones, starting at single panes.
 
-    Returns, in order, (length, [(part length, offset back in panes), ...]).
+    Returns, in order, (length, [(part length, offset back in panes), ...]); the first part has offset 0.
     """
     known = {1}
     steps: list[tuple[int, list[tuple[int, int]]]] = []
@@ -70,110 +64,122 @@ def combination_steps(lengths: list[int]) -> list[tuple[int, list[tuple[int, int
 
 
 def window_moments(ticks: DataFrame, params: TickParams, block_panes: int | None = None) -> DataFrame:
-    """(symbol, timestamp) and one moments struct per window, named by its label."""
-    lengths = {label: params.panes(label) for label in params.labels}
-    shortest, longest = min(lengths.values()), max(lengths.values())
+    """symbol, timestamp and, per window of k panes, the columns n<k>, mean<k>, m2_<k>."""
+    lengths = [params.panes(label) for label in params.labels]
+    shortest, longest = lengths[0], lengths[-1]
     block_panes = block_panes or 2 * longest
-    steps = combination_steps(list(lengths.values()))
-
-    # A pane belongs to its own block and to those whose windows reach back to it.
-    pane = F.col("pane")
-    first, last = floor_div(pane, block_panes), floor_div(pane + F.lit(longest - 1), block_panes)
-    in_blocks = tick_panes(ticks, params).select(
+    steps = combination_steps(lengths)
+    rows = _dense_blocks(tick_panes(ticks, params), shortest, longest, block_panes)
+    for position, (length, parts) in enumerate(steps):
+        needed = set(lengths) | {part for _, later in steps[position + 1 :] for part, _ in later}
+        rows = _combine(rows, length, parts, needed, shortest)
+    return rows.filter(
+        (F.col("pane") >= F.col("block") * F.lit(block_panes)) & (F.col(f"ticks{shortest}") > 0)
+    ).select(
         "symbol",
-        "pane",
-        F.struct("ticks", "n", "mean", "m2").alias("w1"),
-        F.explode(F.sequence(first, last)).alias("block"),
+        grid_time(F.col("pane") + 1, params.slide).alias("timestamp"),
+        *[f"{name}{k}" for k in lengths for name in ("n", "mean", "m2_")],
     )
 
-    # Empty panes are filled in while a window can still span the gap, else only as far as results are due.
-    in_order = Window.partitionBy("symbol", "block").orderBy("pane")
-    block_end = (F.col("block") + 1) * F.lit(block_panes) - 1
-    gap_end = F.col("following") - 1
-    due_end = pane + F.lit(shortest - 1)
-    fill_end = F.when(F.col("following") - pane <= F.lit(longest), gap_end).otherwise(
-        F.least(due_end, F.coalesce(gap_end, due_end), F.greatest(block_end, pane))
+
+def _dense_blocks(panes: DataFrame, shortest: int, longest: int, block_panes: int) -> DataFrame:
+    """Panes by block, with rows for empty panes wherever a window ending there can hold a tick.
+
+    Gaps no window spans are left open: after such a gap nothing can be looked up before it.
+    """
+    partitions = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pane = F.col("pane")
+    first, last = floor_div(pane, block_panes), floor_div(pane + F.lit(longest - 1), block_panes)
+    # The number of partitions is stated because the rows filled in below are more than the shuffle's size tells.
+    in_blocks = panes.select("*", F.explode(F.sequence(first, last)).alias("block")).repartition(
+        partitions, *BLOCK_KEYS
     )
-    rows = (
+    in_order = Window.partitionBy(*BLOCK_KEYS).orderBy("pane")
+    due = pane + F.lit(shortest - 1)
+    fill_end = F.when(F.col("following") - pane <= F.lit(longest), F.col("following") - 1).otherwise(due)
+    return (
         in_blocks.withColumn("following", F.lead("pane").over(in_order))
-        .select("symbol", "block", "pane", "w1", F.explode(F.sequence(pane, fill_end)).alias("at"))
-        .select(
-            "symbol",
-            "block",
-            F.col("at").alias("pane"),
-            F.when(F.col("at") == pane, F.col("w1")).otherwise(empty_moments()).alias("w1"),
+        .select("*", F.explode(F.sequence(pane, F.least(fill_end, F.col("following") - 1))).alias("at"))
+        .filter(F.col("at") < (F.col("block") + 1) * F.lit(block_panes))
+        .selectExpr(
+            *BLOCK_KEYS,
+            "at AS pane",
+            "IF(at = pane, ticks, 0L) AS ticks1",
+            "IF(at = pane, n, 0L) AS n1",
+            "IF(at = pane, mean, NULL) AS mean1",
+            "IF(at = pane, m2, NULL) AS m2_1",
         )
     )
 
-    for position, (length, parts) in enumerate(steps):
-        needed = set(lengths.values()) | {p for _, later in steps[position + 1 :] for p, _ in later}
-        rows = _combine(rows, in_order, length, parts, needed)
-
-    is_due = (F.col("pane") >= F.col("block") * F.lit(block_panes)) & (F.col(f"w{shortest}")["ticks"] > 0)
-    return rows.filter(is_due).select(
-        "symbol",
-        grid_time(F.col("pane") + 1, params.slide).alias("timestamp"),
-        *[F.col(f"w{length}").alias(label) for label, length in lengths.items()],
-    )
 
+def _combine(
+    rows: DataFrame, length: int, parts: list[tuple[int, int]], needed: set[int], shortest: int
+) -> DataFrame:
+    """Add the moments of the window of ``length`` panes ending at each row, and drop those not ``needed`` any more.
 
-def _combine(rows: DataFrame, in_order, length: int, parts: list[tuple[int, int]], needed: set[int]) -> DataFrame:
-    """Add the moments ``w<length>`` of the window ending at each row, and drop those not ``needed`` any more."""
-    earlier = {
-        f"part{i}": F.lag(F.struct("pane", f"w{part}"), offset).over(in_order)
+    The number of ticks is followed up to the shortest window only, whose ticks decide which rows are due.
+    """
+    over = "OVER (PARTITION BY symbol, block ORDER BY pane)"
+    counts = ["n", "ticks"] if length <= shortest else ["n"]
+    lags = [
+        f"lag({name}, {offset}) {over} AS {alias}_{i}"
         for i, (part, offset) in enumerate(parts)
         if offset
-    }
-    rows = rows.withColumns(earlier)
-    present = {
-        # Rows left out in a gap shift the positions: a part of another pane means that this one is empty.
-        f"part{i}": F.when(
-            F.col(f"part{i}")["pane"] == F.col("pane") - F.lit(offset), F.col(f"part{i}")[f"w{part}"]
-        ).otherwise(empty_moments())
-        for i, (part, offset) in enumerate(parts)
+        for name, alias in [
+            ("pane", "at"),
+            (f"mean{part}", "part_mean"),
+            (f"m2_{part}", "part_m2"),
+            *[(f"{count}{part}", f"part_{count}") for count in counts],
+        ]
+    ]
+    # Rows left out in a gap shift the positions: a row of another pane means that this part is empty.
+    present = [
+        f"IF(at_{i} = pane - {offset}, part_{count}_{i}, 0L) AS {count}_{i}"
+        for i, (_, offset) in enumerate(parts)
         if offset
-    }
-    rows = rows.withColumns(present)
-    moments = [F.col(f"part{i}") if offset else F.col(f"w{part}") for i, (part, offset) in enumerate(parts)]
-    rows = rows.withColumn("mean", merged_mean(moments))
-    kept = [c for c in rows.columns if c[0] == "w" and c[1:].isdigit() and int(c[1:]) in needed]
-    return rows.select(
-        "symbol",
-        "block",
-        "pane",
-        *kept,
-        F.struct(
-            merged_count(moments, "ticks").alias("ticks"),
-            merged_count(moments, "n").alias("n"),
-            F.col("mean").alias("mean"),
-            merged_m2(moments, F.col("mean")).alias("m2"),
-        ).alias(f"w{length}"),
-    )
+        for count in counts
+    ]
+    own = parts[0][0]
+    spans = [Span(f"n{own}", f"mean{own}", f"m2_{own}")] + [
+        Span(f"n_{i}", f"part_mean_{i}", f"part_m2_{i}") for i in range(1, len(parts))
+    ]
+    merged = [
+        f"{merged_n(spans)} AS n{length}",
+        f"{merged_mean(spans)} AS mean{length}",
+        f"{merged_m2(spans, f'mean{length}')} AS m2_{length}",
+    ]
+    if "ticks" in counts:
+        ticks = [f"ticks{own}"] + [f"ticks_{i}" for i in range(1, len(parts))]
+        merged.append(f"{' + '.join(ticks)} AS ticks{length}")
+    dropped = [
+        c
+        for c in rows.columns
+        for prefix in ("n", "mean", "m2_", "ticks")
+        if c.startswith(prefix) and c[len(prefix) :].isdigit() and int(c[len(prefix) :]) not in needed
+    ]
+    helpers = [f"{name}_{i}" for i in range(1, len(parts)) for name in ("at", "part_mean", "part_m2")]
+    helpers += [f"{name}_{i}" for i in range(1, len(parts)) for count in counts for name in (f"part_{count}", count)]
+    return rows.selectExpr("*", *lags).selectExpr("*", *present, *merged).drop(*dropped, *helpers)
+
+
+def _statistics(k: int) -> tuple[Column, Column]:
+    return F.col(f"mean{k}"), F.expr(sample_stddev(f"n{k}", f"m2_{k}"))
 
 
 def moving_stats(ticks: DataFrame, params: TickParams, block_panes: int | None = None) -> DataFrame:
     """Wide form: symbol, timestamp, then avg_<label> and std_<label> per window."""
-    return window_moments(ticks, params, block_panes).select(
-        "symbol",
-        "timestamp",
-        *[
-            c
-            for label in params.labels
-            for c in (
-                average(F.col(label)).alias(f"avg_{label}"),
-                sample_stddev(F.col(label)).alias(f"std_{label}"),
-            )
-        ],
-    )
+    columns = []
+    for label in params.labels:
+        average, deviation = _statistics(params.panes(label))
+        columns += [average.alias(f"avg_{label}"), deviation.alias(f"std_{label}")]
+    return window_moments(ticks, params, block_panes).select("symbol", "timestamp", *columns)
 
 
 def moving_avg_std(ticks: DataFrame, params: TickParams, label: str) -> DataFrame:
     """One window on its own: a row for every slide at which this window holds a tick."""
+    average, deviation = _statistics(params.panes(label))
     return window_moments(ticks, params.only(label)).select(
-        "symbol",
-        "timestamp",
-        average(F.col(label)).alias("avg_price"),
-        sample_stddev(F.col(label)).alias("std_price"),
+        "symbol", "timestamp", average.alias("avg_price"), deviation.alias("std_price")
     )
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.functions.moments import exact_avg, exact_stddev
 from tickflow.functions.timegrid import grid_index, grid_time
 from tickflow.plans.params import TickParams, interval
 
@@ -31,7 +32,7 @@ def stream_window_ends(ticks: DataFrame, params: TickParams) -> DataFrame:
     statistics: list[Column] = [F.count(F.when(F.col("ahead") <= shortest, 1)).alias("recent")]
     for label in params.labels:
         inside = F.when(F.col("ahead") <= params.panes(label), F.col("price"))
-        statistics += [F.avg(inside).alias(f"avg_{label}"), F.stddev_samp(inside).alias(f"std_{label}")]
+        statistics += [exact_avg(inside).alias(f"avg_{label}"), exact_stddev(inside).alias(f"std_{label}")]
     return per_end.groupBy("symbol", "timestamp").agg(*statistics).filter(F.col("recent") > 0).drop("recent")
 
 
@@ -40,7 +41,7 @@ def stream_moving_avg_std(ticks: DataFrame, params: TickParams, label: str) -> D
     return (
         ticks.withWatermark("event_time", interval(params.moving_delay))
         .groupBy(F.window("event_time", interval(dict(params.windows)[label]), interval(params.slide)), "symbol")
-        .agg(F.avg("price").alias(f"avg_{label}"), F.stddev_samp("price").alias(f"std_{label}"))
+        .agg(exact_avg(F.col("price")).alias(f"avg_{label}"), exact_stddev(F.col("price")).alias(f"std_{label}"))
         .select("symbol", F.window_time("window").alias("window_time"), f"avg_{label}", f"std_{label}")
     )
 
