@@ -70,4 +70,4 @@ def test_unknown_job_is_refused(spark, tmp_path):
     from tickflow.plans.jobs import JobConfig, job_writers
 
     with pytest.raises(KeyError):
-        job_writers(spark, "nonsense", JobConfig(FileTopics(str(tmp_path)), FileStore(str(tmp_path))))
+        job_writers(spark, "nonsense", JobConfig(FileTopics(str(tmp_path)), FileStore(str(tmp_path)), str(tmp_path)))

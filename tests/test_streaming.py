@@ -7,9 +7,11 @@ from datetime import timedelta
 
 import pytest
 from conftest import START, seconds_of
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tickflow.functions.records import HIGHER, LOWER, MOVING, TICK, ZSCORE, decode, encode
+from tickflow.functions.timegrid import floor_time
 from tickflow.operators import moving, shortest, zscore
 from tickflow.plans.jobs import JobConfig, job_writers
 from tickflow.plans.params import REFERENCE
@@ -57,6 +59,44 @@ def last_time(waves):
     return waves.agg(F.max("event_time")).first()[0]
 
 
+def newest_pane_end(waves):
+    """End of the newest pane that the watermark has passed."""
+    pane_end = floor_time(F.col("event_time"), PARAMS.slide) + F.expr("INTERVAL 10 SECONDS")
+    watermark = last_time(waves) - PARAMS.moving_delay
+    return waves.select(pane_end.alias("e")).filter(F.col("e") <= F.lit(watermark)).agg(F.max("e")).first()[0]
+
+
+@pytest.mark.parametrize("longest", ["1m", "5m"])
+def test_moving_stats_by_panes_in_waves_and_with_a_repeated_batch(spark, waves, tmp_path, longest):
+    params = REFERENCE.only("30s", "1m", longest)
+    schema = waves.drop("arrival").schema
+    rows = f"{tmp_path}/rows"
+    handed_over = []
+
+    def sink(batch, batch_id):
+        if batch_id >= 2 and not handed_over:
+            handed_over.append(batch_id)
+            raise RuntimeError("lost before the batch was committed")
+        batch.write.mode("overwrite").parquet(f"{rows}/batch={batch_id}")
+
+    failed = 0
+    for wave in range(4):
+        waves.filter(F.col("arrival") == wave).drop("arrival").write.parquet(f"{tmp_path}/in/wave={wave}")
+        for _ in range(2):
+            stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in/wave=*")
+            writer = stream_moving.moving_stats_writer(stream, params, f"{tmp_path}/work", [sink])
+            try:
+                run_available(writer, f"{tmp_path}/checkpoint", spark)
+            except StreamingQueryException:
+                failed += 1
+    assert failed == 1
+    batch = moving.moving_stats(waves.drop("arrival"), params)
+    expected = batch.filter(F.col("timestamp") <= F.lit(newest_pane_end(waves)))
+    actual = spark.read.parquet(rows).drop("batch")
+    assert actual.count() == expected.count()
+    same(rounded(actual), rounded(expected))
+
+
 def test_moving_stats_in_waves(waves):
     actual = run_in_waves(waves, 4, lambda s: stream_moving.stream_window_ends(s, PARAMS))
     # The last slide boundary before the last tick, less the allowed delay.
@@ -143,7 +183,7 @@ def run_job(spark, name, config, root):
 def test_whole_pipeline_over_file_topics(spark, waves, tmp_path):
     """Ticks through every job, in two rounds on the same checkpoints: no loss and no repetition."""
     topics, store = FileTopics(f"{tmp_path}/topics"), FileStore(f"{tmp_path}/store")
-    config = JobConfig(topics, store, PARAMS, ingest_limit=None)
+    config = JobConfig(topics, store, str(tmp_path), PARAMS, ingest_limit=None)
     for part in (F.col("arrival") < 2, F.col("arrival") >= 2):
         topics.write(encode(waves.filter(part), TICK), TICKS_TOPIC)
         time.sleep(0.01)
@@ -152,8 +192,7 @@ def test_whole_pipeline_over_file_topics(spark, waves, tmp_path):
 
     ticks = waves.drop("arrival")
     end = last_time(waves)
-    watermark = end - timedelta(seconds=seconds_of(end) % 10) - PARAMS.moving_delay
-    stats = moving.moving_stats(ticks, PARAMS).filter(F.col("timestamp") <= F.lit(watermark))
+    stats = moving.moving_stats(ticks, PARAMS).filter(F.col("timestamp") <= F.lit(newest_pane_end(waves)))
     records = decode(topics.replay(spark, MOVING_TOPIC), MOVING)
     same(rounded(moving.by_window(records, "windows")), rounded(moving.by_window(moving.as_array(stats, PARAMS), "windows")))
 

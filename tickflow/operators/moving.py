@@ -63,23 +63,23 @@ def combination_steps(lengths: list[int]) -> list[tuple[int, list[tuple[int, int
     return steps
 
 
-def window_moments(ticks: DataFrame, params: TickParams, block_panes: int | None = None) -> DataFrame:
-    """symbol, timestamp and, per window of k panes, the columns n<k>, mean<k>, m2_<k>."""
+def window_moments(panes: DataFrame, params: TickParams, block_panes: int | None = None) -> DataFrame:
+    """symbol, pane (the last before the window end) and, per window of k panes, the columns n<k>, mean<k>, m2_<k>."""
     lengths = [params.panes(label) for label in params.labels]
     shortest, longest = lengths[0], lengths[-1]
     block_panes = block_panes or 2 * longest
     steps = combination_steps(lengths)
-    rows = _dense_blocks(tick_panes(ticks, params), shortest, longest, block_panes)
+    rows = _dense_blocks(panes, shortest, longest, block_panes)
     for position, (length, parts) in enumerate(steps):
         needed = set(lengths) | {part for _, later in steps[position + 1 :] for part, _ in later}
         rows = _combine(rows, length, parts, needed, shortest)
     return rows.filter(
         (F.col("pane") >= F.col("block") * F.lit(block_panes)) & (F.col(f"ticks{shortest}") > 0)
-    ).select(
-        "symbol",
-        grid_time(F.col("pane") + 1, params.slide).alias("timestamp"),
-        *[f"{name}{k}" for k in lengths for name in ("n", "mean", "m2_")],
-    )
+    ).select("symbol", "pane", *[f"{name}{k}" for k in lengths for name in ("n", "mean", "m2_")])
+
+
+def window_end(params: TickParams) -> Column:
+    return grid_time(F.col("pane") + 1, params.slide).alias("timestamp")
 
 
 def _dense_blocks(panes: DataFrame, shortest: int, longest: int, block_panes: int) -> DataFrame:
@@ -166,20 +166,25 @@ def _statistics(k: int) -> tuple[Column, Column]:
     return F.col(f"mean{k}"), F.expr(sample_stddev(f"n{k}", f"m2_{k}"))
 
 
-def moving_stats(ticks: DataFrame, params: TickParams, block_panes: int | None = None) -> DataFrame:
-    """Wide form: symbol, timestamp, then avg_<label> and std_<label> per window."""
+def stats_of_panes(moments: DataFrame, params: TickParams) -> DataFrame:
+    """Wide form of ``window_moments``: symbol, timestamp, then avg_<label> and std_<label> per window."""
     columns = []
     for label in params.labels:
         average, deviation = _statistics(params.panes(label))
         columns += [average.alias(f"avg_{label}"), deviation.alias(f"std_{label}")]
-    return window_moments(ticks, params, block_panes).select("symbol", "timestamp", *columns)
+    return moments.select("symbol", window_end(params), *columns)
+
+
+def moving_stats(ticks: DataFrame, params: TickParams, block_panes: int | None = None) -> DataFrame:
+    """All windows in one pass over the ticks."""
+    return stats_of_panes(window_moments(tick_panes(ticks, params), params, block_panes), params)
 
 
 def moving_avg_std(ticks: DataFrame, params: TickParams, label: str) -> DataFrame:
     """One window on its own: a row for every slide at which this window holds a tick."""
     average, deviation = _statistics(params.panes(label))
-    return window_moments(ticks, params.only(label)).select(
-        "symbol", "timestamp", average.alias("avg_price"), deviation.alias("std_price")
+    return window_moments(tick_panes(ticks, params), params.only(label)).select(
+        "symbol", window_end(params), average.alias("avg_price"), deviation.alias("std_price")
     )
 
 

@@ -293,6 +293,17 @@ def stream_ticks_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_moving_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark)
+
+    def store(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
+
+    writer = stream_moving.moving_stats_writer(tick_stream(spark, sf_dir), SCALED, folder, [store])
+    run_available(writer, f"{folder}/checkpoint", spark)
+    return published(spark.read.parquet(f"{folder}/rows").drop("batch"))
+
+
+def stream_window_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(stored_result(stream_moving.stream_window_ends(tick_stream(spark, sf_dir), SCALED)))
 
 
@@ -310,9 +321,12 @@ def stream_zscore_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two queries: moving records go to a topic, from which the z-score query reads them."""
     folder = scratch_folder(spark)
     topics = FileTopics(folder)
-    stats = stream_moving.stream_window_ends(tick_stream(spark, sf_dir), SCALED)
-    messages = encode(moving.as_array(stats, SCALED), MOVING)
-    run_available(topics.write_stream(messages, MOVING_TOPIC), f"{folder}/checkpoint", spark)
+
+    def to_topic(stats: DataFrame, batch_id: int) -> None:
+        topics.write(encode(moving.as_array(stats, SCALED), MOVING), MOVING_TOPIC, batch_id)
+
+    writer = stream_moving.moving_stats_writer(tick_stream(spark, sf_dir), SCALED, folder, [to_topic])
+    run_available(writer, f"{folder}/checkpoint", spark)
     records = decode(topics.read_stream(spark, MOVING_TOPIC), MOVING)
     scores = stream_zscores.stream_zscore_of_records(tick_stream(spark, sf_dir), records, SCALED)
     return published(moving.by_window(stored_result(scores), "zscores"), digits=4)
@@ -388,6 +402,7 @@ QUERIES: dict[str, Query] = {
     "readback_count": readback_count,
     "stream_ticks_passthrough": stream_ticks_passthrough,
     "stream_moving_stats": stream_moving_stats,
+    "stream_window_ends": stream_window_ends,
     "stream_moving_stats_join": stream_moving_stats_join,
     "stream_zscore": stream_zscore,
     "stream_zscore_chained": stream_zscore_chained,

@@ -41,7 +41,7 @@ from tickflow.sources.topics import (
     KafkaTopics,
     Topics,
 )
-from tickflow.streaming.moving import stream_window_ends
+from tickflow.streaming.moving import moving_stats_writer
 from tickflow.streaming.runner import fan_out, run_forever, scratch_folder
 from tickflow.streaming.shortest import higher_lower_sinks, stream_shortest_windows
 from tickflow.streaming.zscore import stream_zscore_of_records
@@ -49,8 +49,11 @@ from tickflow.streaming.zscore import stream_zscore_of_records
 
 @dataclass(frozen=True)
 class JobConfig:
+    """``work_folder``, shared by the executors and kept between starts, holds checkpoints and closed panes."""
+
     topics: Topics
     store: DocumentStore | FileStore
+    work_folder: str
     params: TickParams = REFERENCE
     ingest_limit: int | None = INGEST_LIMIT
 
@@ -65,8 +68,11 @@ def _ticks(spark: SparkSession, config: JobConfig, limit: int | None = None, tol
 
 def moving_job(spark: SparkSession, config: JobConfig) -> Writers:
     ticks = _ticks(spark, config, config.ingest_limit, tolerate_loss=True)
-    records = as_array(stream_window_ends(ticks, config.params), config.params)
-    return {"moving": config.topics.write_stream(encode(records, MOVING), MOVING_TOPIC)}
+
+    def to_topic(stats: DataFrame, batch_id: int) -> None:
+        config.topics.write(encode(as_array(stats, config.params), MOVING), MOVING_TOPIC, batch_id)
+
+    return {"moving": moving_stats_writer(ticks, config.params, f"{config.work_folder}/moving", [to_topic])}
 
 
 def zscore_job(spark: SparkSession, config: JobConfig) -> Writers:
@@ -124,7 +130,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--topic-folder", help="keep topics as files in this shared folder instead of on a broker")
     parser.add_argument("--store-uri", default="mongodb://localhost", help="document store")
     parser.add_argument("--store-folder", help="keep results as files in this shared folder instead")
-    parser.add_argument("--checkpoints", help="folder of the checkpoints, the same for every start of a job")
+    parser.add_argument("--work-folder", help="shared folder of checkpoints and panes, the same for every start")
     parser.add_argument("--shuffle-partitions", type=int)
     chosen = parser.parse_args(arguments)
 
@@ -133,10 +139,11 @@ def main(arguments: list[str] | None = None) -> None:
     packages = () if chosen.topic_folder else (KAFKA_PACKAGE,)
     spark = session("tickflow", shuffle_partitions=chosen.shuffle_partitions, packages=packages)
     try:
+        work_folder = chosen.work_folder or scratch_folder(spark)
         writers: Writers = {}
         for name in chosen.jobs:
-            writers |= job_writers(spark, name, JobConfig(topics, store))
-        run_forever(spark, writers, chosen.checkpoints or scratch_folder(spark))
+            writers |= job_writers(spark, name, JobConfig(topics, store, work_folder))
+        run_forever(spark, writers, f"{work_folder}/checkpoints")
     finally:
         spark.stop()
 

@@ -84,6 +84,8 @@ LAST_SLIDE = f"time_bucket({_span(SCALED.slide)}, (SELECT max(ts) FROM events))"
 
 # What an append-mode stream has put out at the end of its input: rows the final watermark has passed.
 ENDS_OUT = f"{LAST_SLIDE} - {_span(SCALED.moving_delay)}"
+PANE_END = f"time_bucket({_span(SCALED.slide)}, ts) + {_span(SCALED.slide)}"
+PANES_OUT = f"(SELECT max({PANE_END}) FROM events WHERE {PANE_END} <= {LAST} - {_span(SCALED.moving_delay)})"
 JOINED_OUT = f"{LAST} - {_span(SCALED.moving_delay)}"
 ZSCORES_OUT = f"least({LAST} - {_span(SCALED.zscore_tick_delay)}, {LAST_SLIDE} - {_span(SCALED.zscore_moving_delay)})"
 SHORTEST_OUT = f"{LAST} - {_span(SCALED.shortest_delay)} - {_span(SCALED.horizon)}"
@@ -200,10 +202,11 @@ ORACLES: dict[str, str] = {
         {_rounded("std_1m")} AS std_price FROM m ORDER BY "timestamp", symbol LIMIT 5""",
     "readback_count": f"WITH {_moving_cte()} SELECT count(*) AS n FROM m",
     "stream_ticks_passthrough": DECODED,
-    "stream_moving_stats": _moving(where=f'"timestamp" <= {ENDS_OUT}'),
+    "stream_moving_stats": _moving(where=f'"timestamp" <= {PANES_OUT}'),
+    "stream_window_ends": _moving(where=f'"timestamp" <= {ENDS_OUT}'),
     "stream_moving_stats_join": _moving(SCALED.only(*JOINED_WINDOWS), where=f'"timestamp" <= {JOINED_OUT}'),
     "stream_zscore": _zscore_rows(where=f"window_end <= {ZSCORES_OUT}"),
-    "stream_zscore_chained": _zscore_rows(where=f"window_end <= {ENDS_OUT}"),
+    "stream_zscore_chained": _zscore_rows(where=f"window_end <= {PANES_OUT}"),
     "stream_shortest_windows": _shortest(
         f'"timestamp", symbol, {HIGHER_LOWER}', where=f'"timestamp" < {SHORTEST_OUT}'
     ),

@@ -1,17 +1,115 @@
-"""Moving statistics on a stream."""
+"""Moving statistics on a stream.
+
+``moving_stats_writer`` is the form for busy streams: the stream itself only aggregates ticks to panes of one slide, and
+each micro-batch runs the batch operator over the panes that have closed and those their windows reach back to. Per
+tick that is one update of one small state row. ``stream_window_ends`` does it in a single streaming DataFrame, to be
+joined or written like any other, at the price of one update per tick and slide of the longest window.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
-from tickflow.functions.moments import exact_avg, exact_stddev
-from tickflow.functions.timegrid import grid_index, grid_time
+from tickflow.functions.moments import exact_avg, exact_stddev, price_moments
+from tickflow.functions.timegrid import floor_div, grid_index, grid_time
+from tickflow.operators.moving import stats_of_panes, window_moments
 from tickflow.plans.params import TickParams, interval
 
 
+PANE_COLUMNS = "symbol string, pane bigint, ticks bigint, n bigint, mean double, m2 double"
+MANY_SPANS = 500
+
+Sink = Callable[[DataFrame, int], None]
+
+
+def stream_panes(ticks: DataFrame, params: TickParams) -> DataFrame:
+    """Price moments per symbol and pane, put out once when the watermark has passed the pane."""
+    return (
+        ticks.withWatermark("event_time", interval(params.moving_delay))
+        .groupBy(F.window("event_time", interval(params.slide)), "symbol")
+        .agg(*price_moments(F.col("price")))
+        .select("symbol", grid_index(F.col("window.start"), params.slide).alias("pane"), "ticks", "n", "mean", "m2")
+    )
+
+
+def moving_stats_writer(ticks: DataFrame, params: TickParams, folder: str, sinks: list[Sink]) -> DataStreamWriter:
+    """Moving statistics (wide form) of a stream, handed to every sink as (rows, batch id).
+
+    A closed pane is final, and so is every window that ends no later than the newest closed pane. Each batch puts out
+    the windows that became final by its panes. ``folder``, shared by the executors, keeps the closed panes, in
+    sub-folders of one longest window each so that a batch opens only what its windows reach back to, and the newest
+    closed pane after each batch. Whatever a repeated batch writes replaces what it wrote before.
+    """
+    spark = ticks.sparkSession
+    longest = params.largest // params.slide
+
+    def write_batch(panes: DataFrame, batch_id: int) -> None:
+        panes.persist()
+        try:
+            before = _newest_pane(spark, folder, batch_id - 1)
+            newest = panes.agg(F.max("pane")).first()[0]
+            if newest is not None:
+                _store_panes(panes, folder, batch_id, longest)
+                first = None if before is None else before + 2 - longest
+                known = _stored_panes(spark, folder, first, newest, longest)
+                moments = window_moments(known, params).filter(F.col("pane") <= newest)
+                if before is not None:
+                    moments = moments.filter(F.col("pane") > before)
+                _to_sinks(stats_of_panes(moments, params), batch_id, sinks)
+            after = before if newest is None else newest
+            row = spark.range(0, 1, 1, 1).select(F.lit(after).cast("bigint").alias("newest"))
+            row.write.mode("overwrite").parquet(f"{folder}/newest/batch={batch_id}")
+        finally:
+            panes.unpersist()
+
+    return stream_panes(ticks, params).writeStream.foreachBatch(write_batch).outputMode("append")
+
+
+def _to_sinks(rows: DataFrame, batch_id: int, sinks: list[Sink]) -> None:
+    if len(sinks) > 1:
+        rows.persist()
+    try:
+        for sink in sinks:
+            sink(rows, batch_id)
+    finally:
+        rows.unpersist()
+
+
+def _newest_pane(spark, folder: str, batch_id: int) -> int | None:
+    """The newest closed pane after a batch; every batch leaves exactly one such row."""
+    if batch_id < 0:
+        return None
+    return spark.read.schema("newest bigint").parquet(f"{folder}/newest/batch={batch_id}").first()[0]
+
+
+def _store_panes(panes: DataFrame, folder: str, batch_id: int, longest: int) -> None:
+    (
+        panes.withColumns({"span": floor_div(F.col("pane"), longest), "batch": F.lit(batch_id)})
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("span", "batch")
+        .parquet(f"{folder}/panes")
+    )
+
+
+def _stored_panes(spark, folder: str, first: int | None, newest: int, longest: int) -> DataFrame:
+    """Stored panes from ``first`` (or the beginning) to ``newest``; other spans' folders are not listed."""
+    root, path = f"{folder}/panes", f"{folder}/panes"
+    if first is not None:
+        spans = range(first // longest, newest // longest + 1)
+        if len(spans) <= MANY_SPANS:
+            path = f"{root}/span={{{','.join(map(str, spans))}}}"
+    stored = spark.read.schema(f"{PANE_COLUMNS}, span bigint, batch bigint").option("basePath", root).parquet(path)
+    if first is not None:
+        stored = stored.filter((F.col("span") >= first // longest) & (F.col("pane") >= first))
+    return stored.drop("span", "batch")
+
+
 def stream_window_ends(ticks: DataFrame, params: TickParams) -> DataFrame:
     """All windows in one aggregate over the window ends a tick can count for.
 
