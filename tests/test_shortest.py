@@ -3,6 +3,7 @@ from datetime import timedelta
 
 import pytest
 from conftest import START, seconds_of
+from pyspark.sql import functions as F
 
 from tickflow.functions.records import TICK
 from tickflow.operators import shortest
@@ -59,6 +60,8 @@ def test_random_ticks_match_brute_force_and_the_pair_form(spark, seed, prices):
     ticks = spark.createDataFrame([(s, p, START + timedelta(seconds=at)) for s, p, at in rows], TICK)
     expected = brute_force(rows)
     assert found(shortest.first_higher_lower(ticks, REFERENCE)) == expected
+    for busy_block in (100, 7, 1):
+        assert found(shortest.first_higher_lower(ticks, REFERENCE, busy_block)) == expected
     assert found(shortest.first_in_pairs(shortest.forward_pairs(ticks, REFERENCE))) == expected
 
 
@@ -98,6 +101,25 @@ def test_pairs_keep_unmatched_ticks(make_ticks):
     assert pairs == [(1.0, 2.0)] and len(rows) == 3
 
 
+def test_busy_block_is_dealt_out(spark):
+    """All ticks in one block, many prices per instant: no share holds more than about its part of the questions."""
+    ticks = spark.range(40_000).select(
+        F.lit("HOT").alias("symbol"),
+        F.timestamp_millis((F.col("id") % 20) * 100).alias("event_time"),
+        (F.col("id") / 20).cast("int").cast("double").alias("price"),
+    )
+    placed = shortest._placed(ticks, REFERENCE, 4_000).filter("home")
+    shares = placed.groupBy("share").agg(F.sum(F.col("asks").cast("int")).alias("n"), F.count("*").alias("rows"))
+    assert shares.count() == 10
+    largest = shares.agg(F.max("n"), F.max("rows")).first()
+    assert largest[0] < 4_800 and largest[1] - largest[0] <= 2 * 20 + 300
+    firsts = shortest.first_higher_lower(ticks, REFERENCE, 4_000)
+    assert firsts.count() == 40_000
+    # The highest price comes at every instant, so every other price has a higher one 100 ms later.
+    late = firsts.filter(F.col("first_higher").isNull() & (F.col("price") < 1999))
+    assert late.select("event_time").distinct().count() == 1
+
+
 def test_plan_forms_no_pairs(spark):
     from tickflow.sources.tables import as_ticks, events
 

@@ -11,7 +11,11 @@ tick, and finds them without forming pairs:
 * Within a node time order is settled and only price order is left: sorted by price, the first higher tick is a running
   minimum of the times of the ticks with bit 1.
 
-That is one row per tick and bit, sorted, instead of one row per pair: n log n rather than n squared in a busy block.
+That is one row per tick and bit, sorted, instead of one row per pair: n log n rather than n squared in a block.
+
+A block is the unit of work. One that holds very many ticks can do so only with many prices per instant, as instants
+are microseconds; of these only the highest and the lowest price can be anybody's answer. So the ticks of busy blocks
+are dealt out to several shares as questions, and each share gets a copy of these two prices per instant.
 """
 
 from __future__ import annotations
@@ -25,6 +29,12 @@ from tickflow.functions.timegrid import grid_index
 from tickflow.operators.ticks import valid_ticks
 from tickflow.plans.params import TickParams, interval, micros
 
+# Blocks above this number of ticks are split into shares of about this size.
+BUSY_BLOCK = 4_000_000
+# Bounds of the table of busy blocks, which is broadcast, and of the copies; a block beyond them is worked on whole.
+MAX_BUSY_BLOCKS = 10_000
+MAX_SHARES = 1_000
+
 
 def forward_pairs(ticks: DataFrame, params: TickParams) -> DataFrame:
     """Each tick with every later tick of its symbol up to ``horizon`` away; right columns NULL if there is none.
@@ -64,24 +74,75 @@ def first_in_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
-def first_higher_lower(ticks: DataFrame, params: TickParams) -> DataFrame:
-    """(symbol, event_time, price, first_higher, first_lower) without forming pairs; see the module text."""
+def busy_blocks(ticks: DataFrame, params: TickParams, busy_block: int) -> DataFrame:
+    """(symbol, block, shares) of the blocks with more than ``busy_block`` ticks, the busiest ones if they are many.
+
+    Reads two columns and counts before the shuffle. What is not listed is still answered, only in one piece.
+    """
+    count = ticks.groupBy("symbol", grid_index(F.col("event_time"), params.horizon).alias("block")).count()
+    shares = F.least(F.ceil(F.col("count") / busy_block), F.lit(MAX_SHARES)).cast("int")
+    return (
+        count.filter(F.col("count") > busy_block)
+        .orderBy(F.col("count").desc())
+        .limit(MAX_BUSY_BLOCKS)
+        .select("symbol", "block", shares.alias("shares"))
+    )
+
+
+def _place(block: str, share: str, asks: bool, answers: bool, home: bool) -> str:
+    flags = f"'asks', {asks}, 'answers', {answers}, 'home', {home}"
+    return f"named_struct('block', {block}, 'share', {share}, {flags})"
+
+
+def _placed(ticks: DataFrame, params: TickParams, busy_block: int) -> DataFrame:
+    """Distinct ticks by (symbol, block, share), as question (``asks``) and/or possible answer (``answers``).
+
+    ``home`` tells the block's own ticks from the copies of the next block's.
+    """
+    busy = busy_blocks(ticks, params, busy_block)
+    own = F.broadcast(busy.withColumnRenamed("shares", "own_shares"))
+    previous = F.broadcast(
+        busy.select("symbol", (F.col("block") + 1).alias("block"), F.col("shares").alias("previous_shares"))
+    )
     block = grid_index(F.col("event_time"), params.horizon)
-    distinct = valid_ticks(ticks).select("symbol", "event_time", "price").distinct()
-    placed = distinct.select(
-        "symbol",
-        "event_time",
-        "price",
-        F.inline(
-            F.array(
-                F.struct(block.alias("block"), F.lit(True).alias("home")),
-                F.struct((block - 1).alias("block"), F.lit(False).alias("home")),
-            )
-        ),
+
+    def shares_of_both(rows: DataFrame, how: str) -> DataFrame:
+        return rows.withColumn("block", block).join(own, ["symbol", "block"], how).join(
+            previous, ["symbol", "block"], "left"
+        )
+
+    # Without a symbol nothing is equal, so nothing is found: such ticks may go anywhere, and answer nobody.
+    dealt = f"CAST(pmod(xxhash64(event_time, price), coalesce(own_shares, {MAX_SHARES})) AS INT)"
+    to_previous = f"""
+        transform(sequence(0, coalesce(previous_shares, 1) - 1),
+                  s -> {_place("block - 1", "s", asks=False, answers=True, home=False)})"""
+    to_own = f"""
+        transform(sequence(0, own_shares - 1),
+                  s -> {_place("block", "s", asks=False, answers=True, home=True)})"""
+    places = f"""
+        CASE WHEN own_shares IS NOT NULL OR symbol IS NULL
+             THEN array({_place("block", dealt, asks=True, answers=False, home=True)})
+             ELSE concat(array({_place("block", "0", asks=True, answers=True, home=True)}), {to_previous}) END"""
+    questions = shares_of_both(ticks.distinct(), "left").selectExpr(
+        "symbol", "event_time", "price", f"inline({places})"
+    )
+    extremes = (
+        shares_of_both(ticks, "inner")
+        .groupBy("symbol", "block", "event_time", "own_shares", "previous_shares")
+        .agg(F.array_distinct(F.array(F.max("price"), F.min("price"))).alias("prices"))
+        .withColumn("price", F.explode("prices"))
+        .selectExpr("symbol", "event_time", "price", f"inline(concat({to_own}, {to_previous}))")
     )
+    return questions.unionByName(extremes)
+
+
+def first_higher_lower(ticks: DataFrame, params: TickParams, busy_block: int = BUSY_BLOCK) -> DataFrame:
+    """(symbol, event_time, price, first_higher, first_lower) without forming pairs; see the module text."""
+    placed = _placed(valid_ticks(ticks).select("symbol", "event_time", "price"), params, busy_block)
+    unit = ("symbol", "block", "share")
 
-    by_time = Window.partitionBy("symbol", "block").orderBy(F.col("home").desc(), "event_time")
-    whole_block = Window.partitionBy("symbol", "block")
+    by_time = Window.partitionBy(*unit).orderBy(F.col("home").desc(), "event_time")
+    whole_block = Window.partitionBy(*unit)
     numbered = (
         placed.withColumn("number", (F.dense_rank().over(by_time) - 1).cast("bigint"))
         .withColumn("last", F.max(F.when(F.col("home"), F.col("number"))).over(whole_block))
@@ -90,24 +151,22 @@ def first_higher_lower(ticks: DataFrame, params: TickParams) -> DataFrame:
     )
     bits = F.length(F.bin("last"))
     levels = F.when(F.col("home"), F.sequence(F.lit(-1), bits - 1)).otherwise(F.array(F.lit(-1)))
-    in_nodes = numbered.select(
-        "symbol", "block", "event_time", "price", "home", "number", F.explode(levels).alias("level")
-    ).select(
-        "symbol",
-        "block",
+    in_nodes = numbered.select("*", F.explode(levels).alias("level")).select(
+        *unit,
         "event_time",
         "price",
-        "home",
+        "asks",
+        "answers",
         "level",
         F.expr("IF(level < 0, 0L, shiftright(number, level + 1))").alias("node"),
         F.expr("IF(level < 0, NOT home, (shiftright(number, level) & 1L) = 1L)").alias("later"),
     )
 
     # At equal prices the earlier ticks come first and so do not see the later ones.
-    node = Window.partitionBy("node", "level", "symbol", "block")
-    found = F.min(F.when(F.col("later"), F.col("event_time")))
+    node = Window.partitionBy("node", "level", *unit)
+    found = F.min(F.when(F.col("later") & F.col("answers"), F.col("event_time")))
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    asked = F.col("home") & ~F.col("later")
+    asked = F.col("asks") & ~F.col("later")
     answers = in_nodes.withColumns(
         {
             "first_higher": found.over(node.orderBy(F.col("price").desc(), "later").rowsBetween(*so_far)),
@@ -115,16 +174,16 @@ def first_higher_lower(ticks: DataFrame, params: TickParams) -> DataFrame:
         }
     ).filter(asked)
 
-    # The top node is asked by every home tick, so every tick is answered at least once.
-    firsts = answers.groupBy("symbol", "block", "event_time", "price").agg(
+    # Every question is asked in the top node, so none is lost.
+    firsts = answers.groupBy(*unit, "event_time", "price").agg(
         F.min("first_higher").alias("first_higher"), F.min("first_lower").alias("first_lower")
     )
     latest = F.col("event_time") + F.expr(f"INTERVAL {interval(params.horizon)}")
     in_reach = {
-        name: F.when(F.col("symbol").isNotNull() & (F.col(name) <= latest), F.col(name))
+        name: F.when(F.col(name) <= latest, F.col(name))
         for name in ("first_higher", "first_lower")
     }
-    return firsts.withColumns(in_reach).drop("block")
+    return firsts.withColumns(in_reach).drop("block", "share")
 
 
 def as_windows(firsts: DataFrame, params: TickParams, with_found: bool = False) -> DataFrame:
