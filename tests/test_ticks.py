@@ -28,6 +28,7 @@ def test_conflate_keeps_the_latest_of_a_slot(make_ticks):
 def test_valid_and_placeholder_filters(make_ticks):
     ticks = make_ticks((1, 0.0), (2, 5.0), (3, None), (None, 6.0))
     assert [r["price"] for r in ops.valid_ticks(ticks).collect()] == [0.0, 5.0]
+    assert sorted(r["price"] for r in ops.fill_placeholder_ticks(ticks).collect()) == [0.0, 0.0, 5.0, 6.0]
     assert sorted(r["price"] for r in ops.drop_placeholder_ticks(ticks).collect()) == [5.0, 6.0]
 
 

@@ -24,7 +24,8 @@ def exact_avg(price: Column) -> Column:
 
 def exact_stddev(price: Column) -> Column:
     """``stddev``; for two or more equal prices exactly 0, where merged partial results leave a trace of rounding."""
-    return _if_equal(price, F.when(F.count(price) > 1, 0.0), F.stddev_samp(price))
+    deviation = F.stddev_samp(price)
+    return _if_equal(price, deviation * 0.0, deviation)
 
 
 def price_moments(price: Column) -> list[Column]:

@@ -15,6 +15,11 @@ def valid_ticks(ticks: DataFrame) -> DataFrame:
     return ticks.filter(F.col("price").isNotNull() & F.col("event_time").isNotNull())
 
 
+def fill_placeholder_ticks(ticks: DataFrame) -> DataFrame:
+    """Price 0.0 where no price is known yet, so that every record can be sent."""
+    return ticks.withColumn("price", F.coalesce("price", F.lit(0.0)))
+
+
 def drop_placeholder_ticks(ticks: DataFrame) -> DataFrame:
     """Without the 0.0 records that stand for "no price known yet"."""
     return ticks.filter(F.col("price") > 0)

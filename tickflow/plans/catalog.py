@@ -179,6 +179,11 @@ def valid_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(tick_ops.valid_ticks(rows))
 
 
+def fill_placeholder_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _ticks_with(spark, sf_dir, price=F.when(F.col("event_id") % 11 != 3, F.col("price")))
+    return published(tick_ops.fill_placeholder_ticks(rows))
+
+
 def drop_placeholder_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _ticks_with(
         spark, sf_dir, price=F.when(F.col("event_id") % 17 == 0, 0.0).otherwise(F.col("price"))
@@ -388,6 +393,7 @@ QUERIES: dict[str, Query] = {
     "conflate_latest": conflate_latest,
     "locf_resample": locf_resample,
     "valid_ticks": valid_ticks,
+    "fill_placeholder_ticks": fill_placeholder_ticks,
     "drop_placeholder_ticks": drop_placeholder_ticks,
     "encode_ticks_json": encode_ticks_json,
     "encode_moving_json": encode_moving_json,

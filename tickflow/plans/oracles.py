@@ -177,6 +177,8 @@ ORACLES: dict[str, str] = {
       FROM g ASOF JOIN c ON g.symbol = c.symbol AND g.slot >= c.slot""",
     "valid_ticks": f"""SELECT event_id, event_type AS symbol, {_rounded("value")} AS price, ts AS event_time
       FROM events WHERE event_id % 11 <> 3 AND event_id % 13 <> 5""",
+    "fill_placeholder_ticks": f"""SELECT event_id, event_type AS symbol,
+        CASE WHEN event_id % 11 = 3 THEN 0.0 ELSE {_rounded("value")} END AS price, ts AS event_time FROM events""",
     "drop_placeholder_ticks": f"""SELECT event_id, event_type AS symbol, {_rounded("value")} AS price,
         ts AS event_time FROM events WHERE event_id % 17 <> 0 AND value > 0""",
     "encode_ticks_json": f"""SELECT '{{"symbol":"' || event_type || '","price":' || CAST(value AS VARCHAR)

@@ -117,12 +117,17 @@ def stream_window_ends(ticks: DataFrame, params: TickParams) -> DataFrame:
     counted for a window if the end is near enough. State is one row per symbol and open end, released when the
     watermark passes the end. Ends run ahead of the ticks by up to the longest window, so the delay grows by that
     length: the lateness allowed to a tick stays ``moving_delay`` (rounded up to the slide).
+
+    Ticks are dealt out evenly before they are multiplied, as a topic may have fewer partitions than there are cores.
     """
     longest = params.largest // params.slide
+    partitions = int(ticks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shortest = params.panes(params.labels[0])
     pane = grid_index(F.col("event_time"), params.slide)
     per_end = (
         ticks.filter(F.col("event_time").isNotNull())
+        .select("symbol", "price", "event_time")
+        .repartition(partitions)
         .select("symbol", "price", pane.alias("pane"), F.explode(F.sequence(F.lit(1), F.lit(longest))).alias("ahead"))
         .select("symbol", "price", "ahead", grid_time(F.col("pane") + F.col("ahead"), params.slide).alias("timestamp"))
         .withWatermark("timestamp", interval(params.largest + params.moving_delay))
