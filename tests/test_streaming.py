@@ -26,7 +26,7 @@ from tickflow.sources.topics import (
 )
 from tickflow.streaming import moving as stream_moving, shortest as stream_shortest, zscore as stream_zscore
 from tickflow.streaming.replay import run_in_waves
-from tickflow.streaming.runner import run_available, scratch_folder, state_store
+from tickflow.streaming.runner import ROCKSDB, run_available, scratch_folder, state_store
 
 PARAMS = REFERENCE.only("30s", "1m")
 
@@ -165,11 +165,21 @@ def test_late_ticks(spark, make_ticks):
 def test_state_provider_is_put_back(spark):
     name = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(name, None)
-    with state_store(spark):
-        assert "RocksDB" in spark.conf.get(name)
+    with state_store(spark, ROCKSDB):
+        with state_store(spark):
+            assert spark.conf.get(name) == ROCKSDB
+        assert spark.conf.get(name) == ROCKSDB
     assert spark.conf.get(name, None) == before
 
 
+def test_state_in_rocksdb(spark, waves):
+    with state_store(spark, ROCKSDB):
+        actual = run_in_waves(waves, 4, lambda s: stream_shortest.stream_shortest_windows(s, REFERENCE))
+    watermark = last_time(waves) - REFERENCE.shortest_delay - REFERENCE.horizon
+    batch = shortest.shortest_windows(waves.drop("arrival"), REFERENCE)
+    same(actual, batch.filter(F.col("timestamp") < F.lit(watermark)))
+
+
 def test_scratch_folder_is_below_the_shared_one(spark):
     assert scratch_folder(spark).startswith(f"{spark.conf.get('spark.checkpoint.dir')}/tickflow-")
     assert scratch_folder(spark) != scratch_folder(spark)

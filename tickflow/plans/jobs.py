@@ -131,6 +131,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--store-uri", default="mongodb://localhost", help="document store")
     parser.add_argument("--store-folder", help="keep results as files in this shared folder instead")
     parser.add_argument("--work-folder", help="shared folder of checkpoints and panes, the same for every start")
+    parser.add_argument("--ingest-limit", type=int, default=INGEST_LIMIT, help="messages per batch, 0 for all there are")
     parser.add_argument("--shuffle-partitions", type=int)
     chosen = parser.parse_args(arguments)
 
@@ -142,7 +143,8 @@ def main(arguments: list[str] | None = None) -> None:
         work_folder = chosen.work_folder or scratch_folder(spark)
         writers: Writers = {}
         for name in chosen.jobs:
-            writers |= job_writers(spark, name, JobConfig(topics, store, work_folder))
+            config = JobConfig(topics, store, work_folder, ingest_limit=chosen.ingest_limit or None)
+            writers |= job_writers(spark, name, config)
         run_forever(spark, writers, f"{work_folder}/checkpoints")
     finally:
         spark.stop()

@@ -28,10 +28,19 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 @contextmanager
-def state_store(spark: SparkSession, provider: str = ROCKSDB):
-    """Queries started inside keep their state in RocksDB: on local disk, not on the executor's heap."""
+def state_store(spark: SparkSession, provider: str | None = None):
+    """Queries started inside keep their state with this provider.
+
+    Without one, a provider the session names is kept; else a cluster session gets RocksDB, whose state lies on local
+    disk and not on the executors' heap, and a local one Spark's default, which starts faster.
+    """
     name = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(name, None)
+    if provider is None and before is None and not spark.sparkContext.master.startswith("local"):
+        provider = ROCKSDB
+    if provider is None:
+        yield
+        return
     spark.conf.set(name, provider)
     try:
         yield
