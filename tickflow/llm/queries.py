@@ -6,17 +6,87 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickflow.llm.common import documents
 from tickflow.llm.exact_dedup import exact_groups
+from tickflow.llm.line_frequency import line_verdicts
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
 
+def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return line_verdicts(documents(spark, sf_dir)).select(*columns, "base_failed", "kept", "left_words")
+
+
 QUERIES = {
+    "op8_line_frequency": op8_line_frequency,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLES = {
+    "op8_line_frequency": r"""
+        WITH d AS (
+            SELECT doc_id, source AS host, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ),
+        windows AS (
+            SELECT doc_id, pos, words[pos] || ' ' || words[pos + 1] || ' ' || words[pos + 2] AS w
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS pos FROM d)
+        ),
+        repeated AS (
+            SELECT doc_id, pos FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1
+        ),
+        repeats AS (
+            SELECT doc_id, count(DISTINCT word) AS n_repeat_words
+            FROM (SELECT doc_id, unnest([pos, pos + 1, pos + 2]) AS word FROM repeated) GROUP BY doc_id
+        ),
+        worded AS (
+            SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+            WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+        ),
+        duplicates AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM worded GROUP BY doc_id),
+        base AS (
+            SELECT doc_id, host, CAST(len(words) AS BIGINT) AS n_words,
+                   CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+                   CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+                   coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+            FROM d LEFT JOIN duplicates USING (doc_id) LEFT JOIN repeats USING (doc_id)
+        ),
+        lines AS (
+            SELECT doc_id, host, md5(n) AS h, length(n) - length(replace(n, ' ', '')) + 1 AS line_words
+            FROM (
+                SELECT doc_id, host, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09\x0B-\x0D]+', ' ', 'g'), ' ') AS n
+                FROM worded JOIN d USING (doc_id)
+            )
+        ),
+        ranked AS (
+            SELECT doc_id, h, row_number() OVER (PARTITION BY doc_id ORDER BY h) AS place
+            FROM (SELECT DISTINCT doc_id, h FROM lines)
+        ),
+        anchors AS (SELECT doc_id, min(h) AS a, max(CASE WHEN place = 2 THEN h END) AS b FROM ranked GROUP BY doc_id),
+        seen AS (
+            SELECT host, h, count(DISTINCT coalesce(CASE WHEN h != a THEN a ELSE b END, '')) AS n_documents
+            FROM lines JOIN anchors USING (doc_id) GROUP BY host, h
+        ),
+        hosts AS (SELECT host, count(*) AS host_documents FROM d GROUP BY host),
+        frequent AS (
+            SELECT host, h FROM seen JOIN hosts USING (host)
+            WHERE n_documents > 20 AND 100 * n_documents > 1 * host_documents
+        ),
+        removed AS (
+            SELECT doc_id, sum(line_words) AS removed_words FROM lines JOIN frequent USING (host, h) GROUP BY doc_id
+        ),
+        verdict AS (
+            SELECT base.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+                   n_words - CAST(coalesce(removed_words, 0) AS BIGINT) AS left_words
+            FROM base LEFT JOIN removed USING (doc_id)
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND left_words >= 20 AND 100 * left_words >= 30 * n_words AS kept, left_words
+        FROM verdict
+    """,
     "op9_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
