@@ -7,18 +7,24 @@ from pyspark.sql import DataFrame, SparkSession
 from tickflow.llm.common import documents
 from tickflow.llm.exact_dedup import exact_groups
 from tickflow.llm.line_frequency import line_verdicts
+from tickflow.llm.simhash_golay import simhash_groups
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
 
+def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(documents(spark, sf_dir))
+
+
 def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return line_verdicts(documents(spark, sf_dir)).select(*columns, "base_failed", "kept", "left_words")
 
 
 QUERIES = {
+    "op3_simhash_golay": op3_simhash_golay,
     "op8_line_frequency": op8_line_frequency,
     "op9_exact_dedup": op9_exact_dedup,
 }
