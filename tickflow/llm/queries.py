@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tickflow.llm.bpe_backtrack import encoded
 from tickflow.llm.common import documents
 from tickflow.llm.exact_dedup import exact_groups
 from tickflow.llm.line_frequency import line_verdicts
@@ -23,7 +26,14 @@ def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_verdicts(documents(spark, sf_dir)).select(*columns, "base_failed", "kept", "left_words")
 
 
+def op10_bpe_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = encoded(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    digests = [F.sha2(column, 256).alias(f"{column}_sha256") for column in ("ids", "decoded")]
+    return rows.select("doc_id", "n_tokens", *digests)
+
+
 QUERIES = {
+    "op10_bpe_backtrack": op10_bpe_backtrack,
     "op3_simhash_golay": op3_simhash_golay,
     "op8_line_frequency": op8_line_frequency,
     "op9_exact_dedup": op9_exact_dedup,
