@@ -11,6 +11,7 @@ from tickflow.llm.common import documents
 from tickflow.llm.exact_dedup import exact_groups
 from tickflow.llm.line_frequency import line_verdicts
 from tickflow.llm.simhash_golay import simhash_groups
+from tickflow.llm.slack_packing import packed
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,11 @@ def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir))
 
 
+def op6_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return rows.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return line_verdicts(documents(spark, sf_dir)).select(*columns, "base_failed", "kept", "left_words")
@@ -33,6 +39,7 @@ def op10_bpe_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_slack_packing": op6_slack_packing,
     "op10_bpe_backtrack": op10_bpe_backtrack,
     "op3_simhash_golay": op3_simhash_golay,
     "op8_line_frequency": op8_line_frequency,
