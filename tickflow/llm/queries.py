@@ -12,6 +12,7 @@ from tickflow.llm.exact_dedup import exact_groups
 from tickflow.llm.line_frequency import line_verdicts
 from tickflow.llm.simhash_golay import simhash_groups
 from tickflow.llm.slack_packing import packed
+from tickflow.llm.suffix_dedup import repeated_spans
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +23,10 @@ def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(documents(spark, sf_dir)).drop("spans")
+
+
 def op6_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
     return rows.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -39,6 +44,7 @@ def op10_bpe_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op6_slack_packing": op6_slack_packing,
     "op10_bpe_backtrack": op10_bpe_backtrack,
     "op3_simhash_golay": op3_simhash_golay,
