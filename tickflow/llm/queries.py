@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickflow.llm.bpe_backtrack import encoded
 from tickflow.llm.common import documents
+from tickflow.llm.crf_toxicity import toxicity
 from tickflow.llm.exact_dedup import exact_groups
 from tickflow.llm.line_frequency import line_verdicts
 from tickflow.llm.simhash_golay import simhash_groups
@@ -19,6 +20,16 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
 
+def held_out() -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+
+
+def op2_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out())
+    scores = toxicity(documents(spark, sf_dir), labels)
+    return scores.select("doc_id", held_out().alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
+
+
 def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir))
 
@@ -44,6 +55,7 @@ def op10_bpe_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_crf_toxicity": op2_crf_toxicity,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op6_slack_packing": op6_slack_packing,
     "op10_bpe_backtrack": op10_bpe_backtrack,
