@@ -10,10 +10,12 @@ from tickflow.llm.bpe_backtrack import encoded
 from tickflow.llm.common import documents
 from tickflow.llm.crf_toxicity import toxicity
 from tickflow.llm.exact_dedup import exact_groups
+from tickflow.llm.html_layout import rendered
 from tickflow.llm.line_frequency import line_verdicts
 from tickflow.llm.simhash_golay import simhash_groups
 from tickflow.llm.slack_packing import packed
 from tickflow.llm.suffix_dedup import repeated_spans
+from tickflow.llm.warc_derivatives import derivatives, responses
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +45,17 @@ def op6_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = derivatives(responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    digest = F.sha2("record", 256).alias("record_sha256")
+    return rows.select("page_id", "record_type", "record_id", "refers_to", "block_digest", "payload_digest", digest)
+
+
+def op7_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rendered(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return rows.select("page_id", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return line_verdicts(documents(spark, sf_dir)).select(*columns, "base_failed", "kept", "left_words")
@@ -55,6 +68,8 @@ def op10_bpe_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_warc_derivatives": op5_warc_derivatives,
+    "op7_html_layout": op7_html_layout,
     "op2_crf_toxicity": op2_crf_toxicity,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op6_slack_packing": op6_slack_packing,
