@@ -11,6 +11,7 @@ from tickflow.llm.common import documents
 from tickflow.llm.crf_toxicity import toxicity
 from tickflow.llm.exact_dedup import exact_groups
 from tickflow.llm.html_layout import rendered
+from tickflow.llm.license_scan import license_matches
 from tickflow.llm.line_frequency import line_verdicts
 from tickflow.llm.simhash_golay import simhash_groups
 from tickflow.llm.slack_packing import packed
@@ -45,6 +46,10 @@ def op6_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_matches(documents(spark, sf_dir))
+
+
 def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = derivatives(responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
     digest = F.sha2("record", 256).alias("record_sha256")
@@ -68,6 +73,7 @@ def op10_bpe_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op5_warc_derivatives": op5_warc_derivatives,
     "op7_html_layout": op7_html_layout,
     "op2_crf_toxicity": op2_crf_toxicity,
