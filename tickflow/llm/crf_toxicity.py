@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -22,6 +23,8 @@ SAMPLE_DOCUMENTS = 4_000
 SAMPLE_CHARACTERS = 20_000
 CONTEXT = 8
 ROUNDS = 60
+#: Pieces of text whose expectations are worked out at a time.
+BLOCK = 4_096
 REMEMBERED = 400_000
 LIMIT = 30.0
 
@@ -112,20 +115,20 @@ def telling(sample: list[tuple[list[str], int]]) -> set[str]:
     toxic ones, as in near copies of a document, are not taken for toxic. Features of every twentieth toxic document are
     taken in any case.
     """
-    toxic: dict[str, set[int]] = {}
-    clean: Counter = Counter()
+    counts: tuple[Counter, Counter] = (Counter(), Counter())
     totals = [0, 0]
-    for n, (words, label) in enumerate(sample):
+    for words, label in sample:
         totals[label] += 1
-        found = {f for word in set(words) for f in word_features(word)}
-        if label:
-            for f in found:
-                toxic.setdefault(f, set()).add(n)
-        else:
-            clean.update(found)
+        counts[label].update({f for word in set(words) for f in word_features(word)})
+    clean, toxic = counts
     least = min(8, max(2, totals[1] // 5))
     scale = totals[1] / max(1, totals[0])
-    open_ = {f: docs for f, docs in toxic.items() if len(docs) >= least and clean[f] * scale <= 0.01 * len(docs)}
+    open_: dict[str, set[int]] = {f: set() for f, n in toxic.items() if n >= least and clean[f] * scale <= 0.01 * n}
+    for n, (words, label) in enumerate(sample):
+        if label:
+            for f in {f for word in set(words) for f in word_features(word)}:
+                if f in open_:
+                    open_[f].add(n)
     chosen = {f for f, docs in open_.items() if len(docs) >= max(least, totals[1] / 20)}
     while open_:
         best = max(open_, key=lambda f: (len(open_[f]), f))
@@ -137,7 +140,11 @@ def telling(sample: list[tuple[list[str], int]]) -> set[str]:
 
 def fit(sample: list[tuple[str, int]], rounds: int = ROUNDS) -> Field:
     """Fit on (text, label) rows; the same rows in any order give the same field."""
-    tokens = [(TOKEN.findall(text), label) for text, label in sorted(set(sample), key=lambda row: (row[1], row[0]))]
+    pool: dict[str, str] = {}  # each distinct word once
+    tokens = [
+        ([pool.setdefault(word, word) for word in TOKEN.findall(text)], label)
+        for text, label in sorted(set(sample), key=lambda row: (row[1], row[0]))
+    ]
     seeds = telling(tokens)
     model = Field(np.zeros(BUCKETS), -4.0, np.zeros((2, 2)))
     pieces: list[tuple[list[str], np.ndarray]] = []
@@ -156,47 +163,58 @@ def fit(sample: list[tuple[str, int]], rounds: int = ROUNDS) -> Field:
     return model
 
 
+def _expected(evidence: np.ndarray, present: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probability of the toxic state at each word of the pieces, and the sum of expected transitions."""
+    size, width = evidence.shape
+    factor = np.exp(np.clip(evidence, -LIMIT, LIMIT))
+    forward, backward = np.ones((width, size, 2)), np.ones((width, size, 2))
+    local = np.stack([np.ones_like(factor), factor], axis=2).transpose(1, 0, 2)
+    live = present.T[:, :, None]
+    forward[0] = local[0]
+    for t in range(1, width):
+        forward[t] = np.where(live[t], (forward[t - 1] @ move) * local[t], forward[t - 1])
+        forward[t] /= forward[t].sum(axis=1, keepdims=True)
+    for t in range(width - 2, -1, -1):
+        backward[t] = np.where(live[t + 1], (local[t + 1] * backward[t + 1]) @ move.T, backward[t + 1])
+        backward[t] /= backward[t].sum(axis=1, keepdims=True)
+    both = forward * backward
+    toxic = (both[:, :, 1] / both.sum(axis=2)).T * present
+    joint = forward[:-1, :, :, None] * move * (local[1:] * backward[1:])[:, :, None, :]
+    joint /= joint.sum(axis=(2, 3), keepdims=True)
+    return toxic, (joint * present[:, 1:].T[:, :, None, None]).sum(axis=(0, 1))
+
+
 def _ascend(model: Field, pieces: list[tuple[list[str], np.ndarray]], rounds: int) -> None:
     """AdaGrad on the likelihood: observed minus expected counts of features and transitions."""
     width = 2 * CONTEXT + 1
     present = np.zeros((len(pieces), width), bool)
     truth = np.zeros((len(pieces), width))
-    features: list[int] = []
-    owners: list[int] = []
+    features, owners = array("i"), array("i")
+    buckets: dict[str, list[int]] = {}
     for n, (words, marks) in enumerate(pieces):
         present[n, : len(words)] = True
         truth[n, : len(words)] = marks
         for t, word in enumerate(words):
-            found = [bucket(f) for f in word_features(word)]
-            features += found
-            owners += [n * width + t] * len(found)
-    columns, owner = np.array(features), np.array(owners)
-    used, column = np.unique(columns, return_inverse=True)
+            if word not in buckets:
+                buckets[word] = [bucket(f) for f in word_features(word)]
+            features.extend(buckets[word])
+            owners.extend([n * width + t] * len(buckets[word]))
+    used, column = np.unique(np.frombuffer(features, np.int32), return_inverse=True)
+    owner = np.frombuffer(owners, np.int32)
     weights = np.zeros(len(used) + 5)  # features, bias, four transitions
     weights[len(used)] = model.bias
     seen = np.full(len(weights), 1e-6)
     pairs = present[:, 1:]
     observed = [((truth[:, :-1] == a) & (truth[:, 1:] == b) & pairs).sum() for a in (0, 1) for b in (0, 1)]
-    size = len(pieces)
     for _ in range(rounds):
         e = np.bincount(owner, weights[column], minlength=present.size).reshape(present.shape) + weights[len(used)]
-        factor = np.exp(np.clip(e, -LIMIT, LIMIT))
         move = np.exp(weights[-4:].reshape(2, 2))
-        forward, backward = np.ones((width, size, 2)), np.ones((width, size, 2))
-        local = np.stack([np.ones_like(factor), factor], axis=2).transpose(1, 0, 2)
-        live = present.T[:, :, None]
-        forward[0] = local[0]
-        for t in range(1, width):
-            forward[t] = np.where(live[t], (forward[t - 1] @ move) * local[t], forward[t - 1])
-            forward[t] /= forward[t].sum(axis=1, keepdims=True)
-        for t in range(width - 2, -1, -1):
-            backward[t] = np.where(live[t + 1], (local[t + 1] * backward[t + 1]) @ move.T, backward[t + 1])
-            backward[t] /= backward[t].sum(axis=1, keepdims=True)
-        both = forward * backward
-        toxic = (both[:, :, 1] / both.sum(axis=2)).T * present
-        joint = forward[:-1, :, :, None] * move * (local[1:] * backward[1:])[:, :, None, :]
-        joint /= joint.sum(axis=(2, 3), keepdims=True)
-        expected = (joint * pairs.T[:, :, None, None]).sum(axis=(0, 1)).ravel()
+        toxic, expected = np.zeros(present.shape), np.zeros((2, 2))
+        for low in range(0, len(pieces), BLOCK):
+            some = slice(low, low + BLOCK)
+            toxic[some], joint = _expected(e[some], present[some], move)
+            expected += joint
+        expected = expected.ravel()
         miss = (truth - toxic) * present
         gradient = np.concatenate(
             [np.bincount(column, miss.ravel()[owner], minlength=len(used)), [miss.sum()], np.array(observed) - expected]
@@ -211,8 +229,11 @@ def _ascend(model: Field, pieces: list[tuple[list[str], np.ndarray]], rounds: in
 
 def _calibrate(model: Field, tokens: list[tuple[list[str], int]]) -> None:
     """Logistic regression of the labels on what the marginals of the whole documents say."""
-    found = model.marginals([model.evidence(words) for words, _ in tokens])
-    x = np.array([(np.log(m.sum() + 1e-3), m.max()) if len(m) else (np.log(1e-3), 0.0) for m in found]).reshape(-1, 2)
+    found = []
+    for low in range(0, len(tokens), 100):
+        marginals = model.marginals([model.evidence(words) for words, _ in tokens[low : low + 100]])
+        found += [(np.log(m.sum() + 1e-3), m.max()) if len(m) else (np.log(1e-3), 0.0) for m in marginals]
+    x = np.array(found).reshape(-1, 2)
     y = np.array([label for _, label in tokens], float)
     if not len(y) or y.min() == y.max():
         base = 0.0 if not len(y) else (LIMIT if y[0] else -LIMIT)
@@ -228,13 +249,16 @@ def _calibrate(model: Field, tokens: list[tuple[list[str], int]]) -> None:
 
 def sample_of(docs: DataFrame, labels: DataFrame, documents: int, characters: int) -> list[tuple[str, int]]:
     """(text, label) of at most so many documents of each label, none longer than ``characters``; which ones depends on
-    a hash of the id alone."""
-    rows = docs.filter(F.length("text") <= characters).join(labels, "doc_id").select("doc_id", "text", "label")
-    some = [
-        rows.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(documents)
-        for label in (0, 1)
-    ]
-    return [(r["text"], int(r["label"])) for part in some for r in part.select("text", "label").collect()]
+    a hash of the id alone. They are chosen by ids and hashes, so that only the chosen texts go to the driver."""
+    short = docs.filter(F.length("text") <= characters).withColumn("text_id", F.xxhash64("text"))
+    rows = short.select("doc_id", "text_id").join(labels, "doc_id").distinct()
+    chosen = None
+    for label in (0, 1):
+        order = [F.xxhash64("doc_id"), "doc_id", "text_id"]
+        some = rows.filter(F.col("label") == label).orderBy(*order).limit(documents)
+        chosen = some if chosen is None else chosen.unionByName(some)
+    found = short.join(F.broadcast(chosen), ["doc_id", "text_id"]).select("text", "label").distinct()
+    return [(r["text"], int(r["label"])) for r in found.toLocalIterator()]
 
 
 def toxicity(
