@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -33,34 +34,47 @@ REMEMBERED = 400_000
 SHARE_DOCUMENTS = 20_000
 
 
+def byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in the vocabulary: itself where it can be seen, else the next from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = (b for b in range(256) if b not in seen)
+    return {b: 256 + n for n, b in enumerate(hidden)}
+
+
 class Ids:
-    """Ids of the tokenizers library, which encodes each distinct piece of Latin text once, and other texts whole."""
+    """Ids of the tokenizers library: distinct pieces of Latin text once each by its model, other texts whole.
+
+    Pieces are remembered in two generations, so that frequent ones stay when memory is full.
+    """
 
     def __init__(self, file: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         with open(file, encoding="utf-8") as opened:
             self.special = [token["content"] for token in json.load(opened)["added_tokens"]]
         self.split = re.compile(LATIN_PATTERN).findall
+        self.letters, self.tokenize = byte_letters(), self.tokenizer.model.tokenize
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _library(self, some: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
+    def _new(self, piece: str) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            tokens = self.tokenize(piece.encode().decode("latin-1").translate(self.letters))
+            found = b"".join([token.id.to_bytes(4, "little") for token in tokens])
+        self.known[piece] = found
+        return found
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if BEYOND_LATIN.search(text) or any(token in text for token in self.special):
-            return self._library([text])[0]
-        pieces = self.split(text.lower())
-        known = self.known
-        if new := list({piece for piece in pieces if piece not in known}):
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(pieces))
-            known.update(zip(new, self._library(new)))
-        return b"".join(map(known.__getitem__, pieces))
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, new = self.known.get, self._new
+        return b"".join([known(piece) or new(piece) for piece in self.split(text.lower())])
 
 
 @cache
