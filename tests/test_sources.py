@@ -56,6 +56,14 @@ def test_windows_are_stored_apart(spark, make_ticks, tmp_path):
     assert "PartitionFilters: [isnotnull(window" in one._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_repeated_batch_replaces_its_windows(spark, tmp_path):
+    store = FileStore(str(tmp_path))
+    rows = spark.createDataFrame([("S", "1m", 1.0), ("S", "5m", 2.0)], "symbol string, window string, price double")
+    for batch_id in (0, 1, 1, 0):
+        store.write_windows(rows, "moving", ["1m", "5m"], batch_id)
+    assert [tuple(r) for r in store.read_window(spark, "moving", "1m").collect()] == [("S", 1.0, "1m")] * 2
+
+
 def test_session_settings():
     settings = session_settings(shuffle_partitions=4)
     assert settings["spark.sql.shuffle.partitions"] == "4"

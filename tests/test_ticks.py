@@ -25,6 +25,14 @@ def test_conflate_keeps_the_latest_of_a_slot(make_ticks):
     assert {seconds_of(r["slot"]): r["price"] for r in rows} == {0.0: 2.0, 0.1: 4.0}
 
 
+def test_a_missing_price_never_replaces_one(make_ticks):
+    ticks = make_ticks((0.0, 1.0), (0.05, None), (0.2, None), (0.3, 2.0))
+    rows = ops.conflate_latest(ticks, SLOT).collect()
+    assert {seconds_of(r["slot"]): r["price"] for r in rows} == {0.0: 1.0, 0.3: 2.0}
+    rows = ops.locf_resample(ticks, SLOT).collect()
+    assert {seconds_of(r["slot"]): r["price"] for r in rows} == {0.0: 1.0, 0.1: 1.0, 0.2: 1.0, 0.3: 2.0}
+
+
 def test_valid_and_placeholder_filters(make_ticks):
     ticks = make_ticks((1, 0.0), (2, 5.0), (3, None), (None, 6.0))
     assert [r["price"] for r in ops.valid_ticks(ticks).collect()] == [0.0, 5.0]

@@ -35,14 +35,14 @@ def normalize_ticks(quotes: DataFrame, slot: timedelta) -> DataFrame:
 
 
 def conflate_latest(ticks: DataFrame, slot: timedelta) -> DataFrame:
-    """The latest price per symbol and slot; at one instant the higher price wins."""
+    """The latest price per symbol and slot; at one instant the higher price wins, and ticks without a price never do."""
     index = _conflated(ticks, slot)
     return index.select("symbol", grid_time(F.col("slot"), slot).alias("slot"), "price")
 
 
 def _conflated(ticks: DataFrame, slot: timedelta) -> DataFrame:
     return (
-        ticks.filter(F.col("event_time").isNotNull())
+        valid_ticks(ticks)
         .groupBy("symbol", grid_index(F.col("event_time"), slot).alias("slot"))
         .agg(F.max_by("price", F.struct("event_time", "price")).alias("price"))
     )

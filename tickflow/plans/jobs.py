@@ -31,7 +31,6 @@ from tickflow.sources.documents import (
 )
 from tickflow.sources.topics import (
     HIGHER_TOPIC,
-    INGEST_LIMIT,
     KAFKA_PACKAGE,
     LOWER_TOPIC,
     MOVING_TOPIC,
@@ -42,7 +41,7 @@ from tickflow.sources.topics import (
     Topics,
 )
 from tickflow.streaming.moving import moving_stats_writer
-from tickflow.streaming.runner import fan_out, run_forever, scratch_folder
+from tickflow.streaming.runner import fan_out, run_forever
 from tickflow.streaming.shortest import higher_lower_sinks, stream_shortest_windows
 from tickflow.streaming.zscore import stream_zscore_of_records
 
@@ -55,7 +54,7 @@ class JobConfig:
     store: DocumentStore | FileStore
     work_folder: str
     params: TickParams = REFERENCE
-    ingest_limit: int | None = INGEST_LIMIT
+    ingest_limit: int | None = None
 
 
 Writers = dict[str, DataStreamWriter]
@@ -99,7 +98,7 @@ def load_windows_job(spark: SparkSession, config: JobConfig) -> Writers:
     ):
         rows = by_window(decode(config.topics.read_stream(spark, topic), schema), elements)
         writers[f"load_{metric}"] = fan_out(
-            rows, [lambda batch, _, metric=metric: config.store.write_windows(batch, metric, config.params.labels)]
+            rows, [lambda batch, n, metric=metric: config.store.write_windows(batch, metric, config.params.labels, n)]
         )
     for topic, schema, collection in (
         (HIGHER_TOPIC, HIGHER, HIGHER_COLLECTION),
@@ -130,8 +129,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--topic-folder", help="keep topics as files in this shared folder instead of on a broker")
     parser.add_argument("--store-uri", default="mongodb://localhost", help="document store")
     parser.add_argument("--store-folder", help="keep results as files in this shared folder instead")
-    parser.add_argument("--work-folder", help="shared folder of checkpoints and panes, the same for every start")
-    parser.add_argument("--ingest-limit", type=int, default=INGEST_LIMIT, help="messages per batch, 0 for all there are")
+    parser.add_argument("--work-folder", required=True, help="shared folder of checkpoints and panes, the same for every start")
+    parser.add_argument("--ingest-limit", type=int, help="messages (files in a topic folder) per batch; all there are by default")
     parser.add_argument("--shuffle-partitions", type=int)
     chosen = parser.parse_args(arguments)
 
@@ -140,7 +139,7 @@ def main(arguments: list[str] | None = None) -> None:
     packages = () if chosen.topic_folder else (KAFKA_PACKAGE,)
     spark = session("tickflow", shuffle_partitions=chosen.shuffle_partitions, packages=packages)
     try:
-        work_folder = chosen.work_folder or scratch_folder(spark)
+        work_folder = chosen.work_folder
         writers: Writers = {}
         for name in chosen.jobs:
             config = JobConfig(topics, store, work_folder, ingest_limit=chosen.ingest_limit or None)

@@ -167,10 +167,10 @@ ORACLES: dict[str, str] = {
         CASE WHEN event_id % 9 <> 4 THEN {_rounded("value")} END AS price,
         time_bucket({_span(REFERENCE.slot)}, ts) AS event_time FROM events""",
     "conflate_latest": f"""SELECT event_type AS symbol, time_bucket({_span(SCALED.slot)}, ts) AS slot,
-        {_rounded("arg_max(value, ts)")} AS price FROM events GROUP BY 1, 2""",
+        {_rounded("arg_max(value, ts)")} AS price FROM events WHERE event_id % 11 <> 3 GROUP BY 1, 2""",
     "locf_resample": f"""WITH c AS (
         SELECT event_type AS symbol, time_bucket({_span(SCALED.slide)}, ts) AS slot, arg_max(value, ts) AS price
-        FROM events GROUP BY 1, 2),
+        FROM events WHERE event_id % 11 <> 3 GROUP BY 1, 2),
       g AS (SELECT symbol, unnest(generate_series(min(slot), max(slot), {_span(SCALED.slide)})) AS slot
             FROM c GROUP BY symbol)
       SELECT g.symbol, g.slot, {_rounded("c.price")} AS price

@@ -40,8 +40,10 @@ def session_settings(
 
 
 def session(name: str, log_level: str = "WARN", **settings) -> SparkSession:
-    """A session on the master named in the environment (all local cores by default)."""
-    builder = SparkSession.builder.appName(name).master(os.environ.get(MASTER_VARIABLE, "local[*]"))
+    """A session on the master that the environment names, else on the one the job was submitted to."""
+    builder = SparkSession.builder.appName(name)
+    if master := os.environ.get(MASTER_VARIABLE):
+        builder = builder.master(master)
     for key, value in session_settings(**settings).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

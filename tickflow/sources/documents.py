@@ -41,8 +41,14 @@ class DocumentStore:
     def write(self, records: DataFrame, collection: str) -> None:
         records.write.format("mongodb").mode("append").options(**self.options(collection)).save()
 
-    def write_windows(self, rows: DataFrame, metric: str, labels: Iterable[str]) -> None:
-        """One collection per window; ``rows`` is read once per label, so persist it when it is dear."""
+    def write_windows(self, rows: DataFrame, metric: str, labels: Iterable[str], batch_id: int | None = None) -> None:
+        """One collection per window; ``rows`` is read once per label, so persist it when it is dear.
+
+        A row of a batch gets an id from its symbol, time and window, so that a repeated batch replaces its rows.
+        """
+        if batch_id is not None:
+            key = F.to_json(F.struct("symbol", "timestamp", "window"), {"ignoreNullFields": "false"})
+            rows = rows.withColumn("_id", F.sha2(key, 256))
         for label in labels:
             self.write(rows.filter(F.col("window") == label), window_collection(metric, label))
 
@@ -62,14 +68,16 @@ class FileStore:
     def write(self, records: DataFrame, collection: str) -> None:
         records.write.mode("append").parquet(self.path(collection))
 
-    def write_windows(self, rows: DataFrame, metric: str, labels: Iterable[str]) -> None:
-        rows.filter(F.col("window").isin(*labels)).write.mode("append").partitionBy("window").parquet(
-            self.path(f"btc-price-{metric}")
-        )
+    def write_windows(self, rows: DataFrame, metric: str, labels: Iterable[str], batch_id: int | None = None) -> None:
+        """A repeated batch replaces what it wrote before; rows of no batch are added."""
+        some = rows.filter(F.col("window").isin(*labels)).withColumn("batch", F.lit(-1 if batch_id is None else batch_id))
+        mode = "append" if batch_id is None else "overwrite"
+        written = some.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("window", "batch")
+        written.parquet(self.path(f"btc-price-{metric}"))
 
     def read(self, spark: SparkSession, collection: str) -> DataFrame:
         return spark.read.parquet(self.path(collection))
 
     def read_window(self, spark: SparkSession, metric: str, label: str) -> DataFrame:
         """One window's rows; the other windows' folders are not opened."""
-        return self.read(spark, f"btc-price-{metric}").filter(F.col("window") == label)
+        return self.read(spark, f"btc-price-{metric}").filter(F.col("window") == label).drop("batch")
