@@ -1,5 +1,5 @@
 import sys
-from datetime import datetime, timedelta, timezone
+from datetime import timedelta
 from pathlib import Path
 
 import pytest
@@ -7,10 +7,9 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from helpers import START  # noqa: E402
 from tickflow.functions.records import TICK  # noqa: E402
 
-START = datetime(2024, 3, 1, tzinfo=timezone.utc)
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -41,8 +40,3 @@ def make_ticks(spark):
         return spark.createDataFrame(data, TICK)
 
     return make
-
-
-def seconds_of(when: datetime) -> float:
-    """Seconds after START of a collected timestamp (local time of the driver)."""
-    return round(when.astimezone(timezone.utc).timestamp() - START.timestamp(), 6)

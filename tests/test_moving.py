@@ -4,7 +4,7 @@ import statistics
 from datetime import timedelta
 
 import pytest
-from conftest import START, seconds_of
+from helpers import START, seconds_of
 from pyspark.sql import functions as F
 
 from tickflow.functions.records import TICK

@@ -1,6 +1,6 @@
 import json
 
-from conftest import seconds_of
+from helpers import seconds_of
 
 from tickflow.functions.records import HIGHER, LOWER, MICROS_FORMAT, MOVING, TICK, ZSCORE, decode, encode
 from tickflow.operators import moving, shortest, ticks as ops, zscore

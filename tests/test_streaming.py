@@ -6,7 +6,7 @@ from dataclasses import replace
 from datetime import timedelta
 
 import pytest
-from conftest import START, seconds_of
+from helpers import START, seconds_of
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 

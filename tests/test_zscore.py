@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from conftest import seconds_of
+from helpers import seconds_of
 
 from tickflow.operators import moving, zscore
 from tickflow.plans.params import REFERENCE
