@@ -7,12 +7,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickflow.llm.bpe_backtrack import encoded
-from tickflow.llm.common import documents
+from tickflow.llm.common import WORD, documents
 from tickflow.llm.crf_toxicity import toxicity
 from tickflow.llm.exact_dedup import exact_groups
 from tickflow.llm.html_layout import rendered
+from tickflow.llm.importance_resampling import resampled
 from tickflow.llm.license_scan import license_matches
 from tickflow.llm.line_frequency import line_verdicts
+from tickflow.llm.periodic_runs import periodic_runs
+from tickflow.llm.sentencepiece_backtrack import piece_ids
 from tickflow.llm.simhash_golay import simhash_groups
 from tickflow.llm.slack_packing import packed
 from tickflow.llm.suffix_dedup import repeated_spans
@@ -72,6 +75,63 @@ def op10_bpe_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", *digests)
 
 
+def echoing(docs: DataFrame) -> DataFrame:
+    """doc_id and text; a tenth of the texts, chosen by id, repeat a stretch of their words from some word on."""
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.pmod(number, F.lit(10)) == 0
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), chosen.alias("chosen"))
+    rows = rows.withColumn("g", F.floor(number / 10))
+    rows = rows.withColumn("words", F.when(F.col("chosen"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0))))
+    rows = rows.withColumn("n", F.coalesce(F.size("words"), F.lit(0)))
+    rows = rows.withColumn("first", F.when(F.col("n") > 0, F.pmod("g", "n")))
+    rows = rows.withColumn("period", 1 + F.floor((F.col("n") - F.col("first")) / (3 + F.pmod("g", F.lit(8)))))
+
+    def word(i: Column) -> Column:
+        at = F.when(i < F.col("first"), i).otherwise(F.col("first") + F.pmod(i - F.col("first"), F.col("period")))
+        return F.get("words", at.cast("int"))
+
+    echo = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), word), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, echo).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic_runs(echoing(documents(spark, sf_dir)))
+
+    def better(best: Column, run: Column) -> Column:
+        """Exponents compared as fractions; runs come by start and period, so the first of equal ones stays."""
+        greater = run["length"] * best["period"] > best["length"] * run["period"]
+        return F.when(best.isNull() | greater, run).otherwise(best)
+
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:long,length:long,period:long>"), better)
+    line = lambda run: F.concat_ws(",", run["start"], run["length"], run["period"])
+    lines = F.transform("runs", lambda run: F.concat(line(run), F.lit("\n")))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id",
+        "n_runs",
+        "best.*",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+def op12_sentencepiece_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = piece_ids(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    digests = [F.sha2(column, 256).alias(f"{column}_sha256") for column in ("ids", "decoded")]
+    return rows.select("doc_id", "n_tokens", *digests)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = resampled(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op5_warc_derivatives": op5_warc_derivatives,
@@ -83,6 +143,9 @@ QUERIES = {
     "op3_simhash_golay": op3_simhash_golay,
     "op8_line_frequency": op8_line_frequency,
     "op9_exact_dedup": op9_exact_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_sentencepiece_backtrack": op12_sentencepiece_backtrack,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLES = {
