@@ -30,6 +30,28 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **mor
     )
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """Names for working columns that no column of ``docs`` has, however it is written."""
+    taken = {column.lower() for column in docs.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def held(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with further columns that are formed once per row, however often what follows refers to them.
+
+    Spark may put the expression of a column in the place of each reference, also inside functions applied to every
+    element of an array; a generated row holds the value itself.
+    """
+    packed = F.array(F.struct(*(column.alias(name) for name, column in columns.items())))
+    return rows.select("*", F.inline(packed))
+
+
 def stored(rows: DataFrame, folder: str | None = None) -> DataFrame:
     """Write the rows below the shared ``spark.checkpoint.dir`` and read them back.
 

@@ -5,14 +5,12 @@ Everything is made of Spark's own expressions.
 
 from __future__ import annotations
 
-import string
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import SPACE_CHARACTERS, WORD, named, stored, texts
+from tickflow.llm.common import SPACE_CHARACTERS, WORD, fresh, held, named, stored, texts
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 #: A line is too frequent on its host if more documents than both hold it: so many, and so many percent of the host's.
@@ -24,12 +22,12 @@ MIN_LEFT_PERCENT = 30
 
 
 def _one_spaced(text: Column) -> Column:
-    lower = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
-    return F.regexp_replace(lower, r"[\x20\x09\x0B-\x0D]+", " ")
+    """In lower case, with every run of spaces inside a line as one space; single spaces are left alone."""
+    return F.regexp_replace(F.lower(text), r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+", " ")
 
 
 def normalised_lines(text: Column) -> Column:
-    """Lines with a word, in lower case (A-Z), with single spaces between words."""
+    """Lines with a word, in lower case, with single spaces between words."""
     lines = F.transform(F.split(_one_spaced(text), "\n"), lambda line: F.btrim(line, F.lit(" ")))
     return F.filter(lines, lambda line: line != "")
 
@@ -38,10 +36,6 @@ def line_hash(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
 def _window_hashes(words: Column, n_words: Column) -> Column:
     hashes = F.transform(
         F.sequence(F.lit(0), n_words - 3), lambda at: F.xxhash64(words[at], words[at + 1], words[at + 2])
@@ -49,44 +43,49 @@ def _window_hashes(words: Column, n_words: Column) -> Column:
     return F.when(n_words >= 3, hashes)
 
 
-def _repeat_words(words: Column, n_words: Column, hashes: Column) -> Column:
-    """Words in windows of three words that the text holds twice or more.
+def _with_repeat_words(rows: DataFrame) -> DataFrame:
+    """``rows`` (with words and n_words) with n_repeat_words: words in windows of three words that the text holds twice
+    or more.
 
     Windows are sorted by hash with their positions; neighbours of equal hash and equal words give the positions of all
     repeated windows, and each position covers three words or as many as there are up to the next one. Texts whose
-    window hashes all differ are done without sorting.
+    window hashes all differ have nothing to sort.
     """
-    rest = 2**30
-    ordered = F.sort_array(F.transform(hashes, lambda h, at: F.struct(h.alias("h"), at.alias("at"))))
+    rest, words = 2**30, F.col("words")
+    rows = held(rows, hashes=_window_hashes(words, F.col("n_words")))
+    placed = F.transform("hashes", lambda h, at: F.struct(h.alias("h"), at.alias("at")))
+    repeating = F.size(F.array_distinct("hashes")) < F.size("hashes")
+    rows = held(rows, ordered=F.when(repeating, F.sort_array(placed)))
 
-    def same(a: Column, b: Column) -> Column:
+    def pair(a: Column, b: Column) -> Column:
         equal = a["h"] == b["h"]
         for k in range(3):
             equal = equal & (words[a["at"] + k] == words[b["at"] + k])
-        return equal
+        return F.when(equal, F.array(a["at"], b["at"]))
 
-    pairs = F.zip_with(ordered, F.slice(ordered, 2, rest), lambda a, b: F.when(same(a, b), F.array(a["at"], b["at"])))
-    repeated = F.sort_array(F.array_distinct(F.flatten(F.filter(pairs, lambda pair: pair.isNotNull()))))
-    covered = F.zip_with(repeated, F.slice(repeated, 2, rest), lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3))))
+    pairs = F.zip_with("ordered", F.slice("ordered", 2, rest), pair)
+    positions = F.flatten(F.filter(pairs, lambda found: found.isNotNull()))
+    rows = held(rows, repeated=F.sort_array(F.array_distinct(positions)))
+    covered = F.zip_with(
+        "repeated", F.slice("repeated", 2, rest), lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3)))
+    )
     total = F.aggregate(covered, F.lit(0), lambda so_far, n: so_far + n)
-    return F.when((n_words < 3) | (F.size(F.array_distinct(hashes)) == F.size(hashes)), 0).otherwise(total)
+    return rows.withColumn("n_repeat_words", F.coalesce(total, F.lit(0))).drop("hashes", "ordered", "repeated")
 
 
 def base_signals(rows: DataFrame) -> DataFrame:
     """``rows`` (with ``text``) with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
-    lines = F.filter(F.split("text", "\n"), lambda line: _without(line, SPACE_CHARACTERS) != "")
-    rows = rows.withColumns({"words": F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), "lines": lines})
+    lines = F.filter(F.split("text", "\n"), lambda line: F.btrim(line, F.lit(SPACE_CHARACTERS)) != "")
+    rows = held(rows, words=F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), lines=lines)
     rows = rows.withColumns(
         {
             "n_words": F.size("words"),
-            "word_chars": F.length(_without(F.col("text"), SPACE_CHARACTERS)),
-            "n_symbols": F.length("text") - F.length(_without(F.col("text"), SYMBOLS)),
+            "word_chars": F.length(F.array_join("words", "")),
+            "n_symbols": F.size(F.regexp_extract_all("text", F.lit(SYMBOLS), F.lit(0))),
             "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines")),
         }
     )
-    rows = rows.withColumn("hashes", _window_hashes(F.col("words"), F.col("n_words")))
-    rows = rows.withColumn("n_repeat_words", _repeat_words(F.col("words"), F.col("n_words"), F.col("hashes")))
-    rows = rows.drop("words", "lines", "hashes")
+    rows = _with_repeat_words(rows).drop("words", "lines")
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     rows = rows.withColumns({name: F.col(name).cast("long") for name in counts})
     repetitive = 100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
@@ -94,27 +93,12 @@ def base_signals(rows: DataFrame) -> DataFrame:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """A row per line with a word: doc_id, text_id, host, line_hash, line_words, anchor.
-
-    The anchor is the smallest line hash of the document other than the line's own (empty if there is none).
-    """
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_id"), "host", normalised_lines(F.col("text")).alias("lines"))
-    rows = rows.withColumn(
-        "hashed",
-        F.transform(
-            "lines",
-            lambda line: F.struct(
-                line_hash(line).alias("line_hash"), (F.length(line) - F.length(_without(line, " ")) + 1).alias("line_words")
-            ),
-        ),
-    )
-    rows = rows.withColumn("smallest", F.array_min(F.col("hashed.line_hash")))
-    rows = rows.withColumn(
-        "second", F.array_min(F.array_remove(F.col("hashed.line_hash"), F.col("smallest")))
+    """A row per line with a word: doc_id, text_id, host, line_hash, line_words."""
+    rows = docs.select(
+        "doc_id", F.xxhash64("text").alias("text_id"), "host", F.explode(normalised_lines(F.col("text"))).alias("line")
     )
-    rows = rows.select("doc_id", "text_id", "host", "smallest", "second", F.explode("hashed").alias("line"))
-    anchor = F.when(F.col("line.line_hash") != F.col("smallest"), F.col("smallest")).otherwise(F.col("second"))
-    return rows.select("doc_id", "text_id", "host", "line.*", F.coalesce(anchor, F.lit("").cast("binary")).alias("anchor"))
+    line_words = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    return rows.select("doc_id", "text_id", "host", line_hash(F.col("line")).alias("line_hash"), line_words.alias("line_words"))
 
 
 def frequent_lines(
@@ -122,15 +106,15 @@ def frequent_lines(
 ) -> DataFrame:
     """host, line_hash, n_documents of the lines above the limits, for ``docs`` of doc_id, text, host and their lines.
 
-    Copies are for deduplication to remove and say nothing about a line. So documents with the same anchor count as
-    one: documents that share one line by chance or by template differ in their other lines, copies and near copies
-    do not. Distinct (host, line, anchor) are formed before the shuffle, and a line of half the documents is spread
-    over its anchors.
+    Counted are the distinct documents of a host that hold a line. Equal texts are one document in both counts: copies
+    are for deduplication to remove and make no line frequent. Distinct (host, line, text) are formed in each task and
+    again after a shuffle by all three, so that a line of half the documents is spread over its texts.
     """
-    seen = lines.select("host", "line_hash", "anchor").distinct()
+    seen = lines.select("host", "line_hash", "text_id").distinct()
     counts = seen.groupBy("host", "line_hash").agg(F.count(F.lit(1)).alias("n_documents"))
     counts = counts.filter(F.col("n_documents") > min_documents)
-    hosts = docs.groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
+    hosts = docs.select("host", F.xxhash64("text").alias("text_id")).distinct()
+    hosts = hosts.groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
     above = counts.join(hosts, counts.host.eqNullSafe(hosts.host)).drop(hosts.host)
     return above.filter(100 * F.col("n_documents") > max_percent * F.col("host_documents")).drop("host_documents")
 
@@ -164,27 +148,27 @@ def keep_good_documents(
     rows = texts(docs, id_col, text_col, host=host_col)
     given = {"min_documents": MIN_DOCUMENTS, "max_percent": MAX_DOCUMENT_PERCENT}
     given |= {"min_left_words": MIN_LEFT_WORDS, "min_left_percent": MIN_LEFT_PERCENT}
-    names = {"doc_id": "judged_id", "host": "judged_host", "text_id": "judged_text", "removed": "judged_lines"}
+    own = ["doc_id", "host", "text_id", "removed"]
+    judged = dict(zip(own, fresh(docs, "judged_id", "judged_host", "judged_text", "judged_lines")))
+    judged_id, judged_host, judged_text, judged_lines = map(F.col, judged.values())
     # Written first: a filter on a verdict would be formed from the text anew, with every step many times over.
-    verdict = stored(_judged(rows, **(given | limits)).select("kept", *names))
-    kept = verdict.filter("kept").withColumnsRenamed(names).drop("kept")
-    kept = kept.dropDuplicates(["judged_id", "judged_host", "judged_text"])
+    verdict = stored(_judged(rows, **(given | limits)).select("kept", *own))
+    kept = verdict.filter("kept").dropDuplicates(own[:3]).withColumnsRenamed(judged).drop("kept")
     text = F.coalesce(named(text_col), F.lit(""))
     same = (
-        named(id_col).eqNullSafe(F.col("judged_id"))
-        & named(host_col).eqNullSafe(F.col("judged_host"))
-        & (F.xxhash64(text) == F.col("judged_text"))
+        named(id_col).eqNullSafe(judged_id) & named(host_col).eqNullSafe(judged_host) & (F.xxhash64(text) == judged_text)
     )
 
     def stays(line: Column) -> Column:
-        return ~F.array_contains("judged_lines", line_hash(F.btrim(_one_spaced(line), F.lit(" "))))
+        return ~F.array_contains(judged_lines, line_hash(F.btrim(_one_spaced(line), F.lit(" "))))
 
     without = F.array_join(F.filter(F.split(text, "\n"), stays), "\n")
-    left = F.when(F.col("judged_lines").isNull(), named(text_col)).otherwise(without)
+    left = F.when(judged_lines.isNull(), named(text_col)).otherwise(without)
     new = {text_col: left}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length(left).cast(docs.schema["n_chars"].dataType)
-    return docs.join(kept, same).withColumns(new).select([named(c) for c in docs.columns])
+    columns = [new.get(c, named(c)).alias(c) for c in docs.columns]
+    return docs.join(kept, same).select(columns)
 
 
 def _judged(
@@ -211,7 +195,6 @@ def _removed(rows: DataFrame, min_documents: int, max_percent: float) -> DataFra
     lines = stored(line_rows(rows))
     frequent = frequent_lines(rows, lines, min_documents, max_percent)
     frequent = frequent.select(F.col("host").alias("frequent_host"), F.col("line_hash").alias("frequent_hash"))
-    lines = lines.drop("anchor")
     found = F.col("host").eqNullSafe(F.col("frequent_host")) & (F.col("line_hash") == F.col("frequent_hash"))
     lines = lines.join(frequent, found, "left")
     hit = F.col("frequent_hash").isNotNull()

@@ -179,23 +179,15 @@ ORACLES = {
             FROM d LEFT JOIN duplicates USING (doc_id) LEFT JOIN repeats USING (doc_id)
         ),
         lines AS (
-            SELECT doc_id, host, md5(n) AS h, length(n) - length(replace(n, ' ', '')) + 1 AS line_words
+            SELECT doc_id, host, text, md5(n) AS h, length(n) - length(replace(n, ' ', '')) + 1 AS line_words
             FROM (
-                SELECT doc_id, host, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09\x0B-\x0D]+', ' ', 'g'), ' ') AS n
+                SELECT doc_id, host, text,
+                       trim(regexp_replace(lower(line), '[\x20\x09\x0B-\x0D]+', ' ', 'g'), ' ') AS n
                 FROM worded JOIN d USING (doc_id)
             )
         ),
-        ranked AS (
-            SELECT doc_id, h, row_number() OVER (PARTITION BY doc_id ORDER BY h) AS place
-            FROM (SELECT DISTINCT doc_id, h FROM lines)
-        ),
-        anchors AS (SELECT doc_id, min(h) AS a, max(CASE WHEN place = 2 THEN h END) AS b FROM ranked GROUP BY doc_id),
-        seen AS (
-            SELECT host, h, count(DISTINCT coalesce(CASE WHEN h != a THEN a ELSE b END, '')) AS n_documents
-            FROM lines JOIN anchors USING (doc_id) GROUP BY host, h
-        ),
-        hosts AS (SELECT host, count(*) AS host_documents FROM d GROUP BY host),
+        seen AS (SELECT host, h, count(DISTINCT md5(text)) AS n_documents FROM lines GROUP BY host, h),
+        hosts AS (SELECT host, count(DISTINCT md5(text)) AS host_documents FROM d GROUP BY host),
         frequent AS (
             SELECT host, h FROM seen JOIN hosts USING (host)
             WHERE n_documents > 20 AND 100 * n_documents > 1 * host_documents
