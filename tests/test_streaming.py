@@ -25,8 +25,8 @@ from tickflow.sources.topics import (
     FileTopics,
 )
 from tickflow.streaming import moving as stream_moving, shortest as stream_shortest, zscore as stream_zscore
-from tickflow.streaming.replay import run_in_waves
-from tickflow.streaming.runner import ROCKSDB, run_available, scratch_folder, state_store
+from tickflow.streaming.replay import replay, run_in_waves
+from tickflow.streaming.runner import ROCKSDB, run_available, run_forever, scratch_folder, state_store
 
 PARAMS = REFERENCE.only("30s", "1m")
 
@@ -59,11 +59,19 @@ def last_time(waves):
     return waves.agg(F.max("event_time")).first()[0]
 
 
-def newest_pane_end(waves):
-    """End of the newest pane that the watermark has passed."""
-    pane_end = floor_time(F.col("event_time"), PARAMS.slide) + F.expr("INTERVAL 10 SECONDS")
-    watermark = last_time(waves) - PARAMS.moving_delay
-    return waves.select(pane_end.alias("e")).filter(F.col("e") <= F.lit(watermark)).agg(F.max("e")).first()[0]
+def closed_at(waves):
+    """The watermark of the moving statistics at the end of the input."""
+    return F.lit(last_time(waves) - PARAMS.moving_delay)
+
+
+def written_in_waves(ticks, writer, params, folder, waves=4):
+    """What a writer hands to its sink over all waves, and its runs."""
+
+    def sink(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
+
+    runs = replay(ticks, waves, lambda stream: writer(stream, params, f"{folder}/work", [sink]), str(folder))
+    return ticks.sparkSession.read.parquet(f"{folder}/rows").drop("batch"), runs
 
 
 @pytest.mark.parametrize("longest", ["1m", "5m"])
@@ -91,7 +99,7 @@ def test_moving_stats_by_panes_in_waves_and_with_a_repeated_batch(spark, waves,
                 failed += 1
     assert failed == 1
     batch = moving.moving_stats(waves.drop("arrival"), params)
-    expected = batch.filter(F.col("timestamp") <= F.lit(newest_pane_end(waves)))
+    expected = batch.filter(F.col("timestamp") <= closed_at(waves))
     actual = spark.read.parquet(rows).drop("batch")
     assert actual.count() == expected.count()
     same(rounded(actual), rounded(expected))
@@ -106,9 +114,10 @@ def test_moving_stats_in_waves(waves):
     same(rounded(actual), rounded(batch.filter(F.col("timestamp") <= F.lit(watermark))))
 
 
-def test_join_form_in_waves_and_its_state_is_released(spark, waves):
+def test_join_form_in_waves(spark, waves):
     actual = run_in_waves(waves, 4, lambda s: stream_moving.stream_moving_stats_join(s, PARAMS))
-    watermark = last_time(waves) - PARAMS.moving_delay
+    end = last_time(waves)
+    watermark = end - timedelta(seconds=seconds_of(end) % 10) - PARAMS.moving_delay
     batch = moving.moving_stats(waves.drop("arrival"), PARAMS)
     same(rounded(actual), rounded(batch.filter(F.col("timestamp") <= F.lit(watermark))))
 
@@ -118,7 +127,7 @@ def test_state_is_bounded(spark, waves, tmp_path):
     for build, most in (
         (lambda s: stream_moving.stream_moving_stats_join(s, PARAMS), 40),
         (lambda s: stream_zscore.stream_zscore_of_ticks(s, PARAMS), 60),
-        (lambda s: stream_shortest.stream_shortest_windows(s, REFERENCE), 250),
+        (lambda s: stream_shortest.stream_shortest_pairs(s, REFERENCE), 250),
     ):
         stream = build(spark.readStream.schema(TICK).parquet(f"{tmp_path}/in"))
         folder = scratch_folder(spark)
@@ -141,12 +150,92 @@ def test_zscore_in_waves(waves):
 
 
 def test_shortest_in_waves(waves):
-    actual = run_in_waves(waves, 4, lambda s: stream_shortest.stream_shortest_windows(s, REFERENCE))
+    actual = run_in_waves(waves, 4, lambda s: stream_shortest.stream_shortest_pairs(s, REFERENCE))
     watermark = last_time(waves) - REFERENCE.shortest_delay - REFERENCE.horizon
     batch = shortest.shortest_windows(waves.drop("arrival"), REFERENCE)
     same(actual, batch.filter(F.col("timestamp") < F.lit(watermark)))
 
 
+def test_windows_close_without_a_later_tick_in_their_panes(spark, make_ticks, tmp_path):
+    """Ticks far apart: every window between them comes out once the next tick moves the watermark on."""
+    ticks = make_ticks((3, 1.0), (4, 2.0, "T"), (1_000, 3.0), (1_031, 4.0)).withColumn(
+        "arrival", F.when(F.unix_micros("event_time") < int((START.timestamp() + 900) * 1e6), 0).otherwise(1)
+    )
+    rows, runs = written_in_waves(ticks, stream_moving.moving_stats_writer, PARAMS, tmp_path, 2)
+    found = sorted((seconds_of(r.timestamp), r.symbol, r.avg_30s, r.avg_1m) for r in rows.collect())
+    early = [(end, s, p, p) for end in (10, 20, 30) for s, p in (("S", 1.0), ("T", 2.0))]
+    assert found == sorted(early + [(1_010, "S", 3.0, 3.0), (1_020, "S", 3.0, 3.0)])
+
+
+def test_kept_panes_and_marks_do_not_grow(spark, make_ticks, tmp_path):
+    ticks = make_ticks(*[(10 * i + 1, float(i)) for i in range(120)])
+    wave = F.floor((F.unix_micros("event_time") / 1e6 - START.timestamp()) / 150)
+    rows, _ = written_in_waves(ticks.withColumn("arrival", wave), stream_moving.moving_stats_writer, PARAMS, tmp_path, 8)
+    same(rounded(rows), rounded(moving.moving_stats(ticks, PARAMS).filter(F.col("timestamp") <= closed_at(ticks))))
+    spans = list((tmp_path / "work" / "rows").glob("span=*"))
+    marks = list((tmp_path / "work" / "marks").glob("batch=*"))
+    assert len(spans) <= 6 and len(marks) <= 2
+
+
+def test_late_ticks_are_dropped_and_counted(spark, make_ticks, tmp_path):
+    """t=3 comes while its pane is open; t=45 comes when its pane, but not its marks' panes, have closed."""
+    arrivals = [(1, 0, 1.0), (15, 0, 2.0), (3, 1, 5.0), (70, 1, 3.0), (45, 2, 9.0), (200, 2, 4.0)]
+    ticks = make_ticks(*[(at, price) for at, _, price in arrivals])
+    second = F.round(F.unix_micros("event_time") / 1e6 - START.timestamp())
+    arrival = F.lit(None)
+    for at, wave, _ in arrivals:
+        arrival = F.when(second == at, wave).otherwise(arrival)
+    rows, runs = written_in_waves(
+        ticks.withColumn("arrival", arrival), stream_moving.moving_stats_writer, PARAMS, tmp_path, 3
+    )
+    kept = ticks.filter(second != 45)
+    same(rounded(rows), rounded(moving.moving_stats(kept, PARAMS).filter(F.col("timestamp") <= closed_at(ticks))))
+    dropped = [sum(o["numRowsDroppedByWatermark"] for b in r.recentProgress for o in b["stateOperators"]) for r in runs]
+    assert dropped == [0, 0, 2]  # panes that end at 50 and 60, with the watermark at 60
+
+
+def test_zscores_from_closed_panes(spark, waves, tmp_path):
+    twice = waves.unionByName(waves.filter((F.unix_micros("event_time") / 100_000) % 100 == 0))
+    rows, runs = written_in_waves(twice, stream_zscore.zscore_writer, PARAMS, tmp_path)
+    ticks = twice.drop("arrival")
+    pane_end = floor_time(F.col("event_time"), PARAMS.slide) + F.expr("INTERVAL 10 SECONDS")
+    out = ticks.filter(pane_end <= F.lit(last_time(waves) - PARAMS.zscore_tick_delay))
+    batch = zscore.zscore(out, moving.as_array(moving.moving_stats(ticks, PARAMS), PARAMS), PARAMS)
+    same(rounded(moving.by_window(rows, "zscores")), rounded(moving.by_window(batch, "zscores")))
+    held = sum(o["numRowsTotal"] for o in runs[-1].recentProgress[-1]["stateOperators"])
+    assert held < 60
+
+
+def test_shortest_without_pairs_in_waves(spark, waves, tmp_path):
+    rows, runs = written_in_waves(waves, stream_shortest.shortest_windows_writer, REFERENCE, tmp_path)
+    watermark = last_time(waves) - REFERENCE.shortest_delay - REFERENCE.horizon
+    batch = shortest.shortest_windows(waves.drop("arrival"), REFERENCE)
+    same(rows, batch.filter(F.col("timestamp") <= F.lit(watermark)))
+    progress = runs[-1].recentProgress
+    assert [o["operatorName"] for o in progress[-1]["stateOperators"]] == ["stateStoreSave"]
+
+
+def test_when_one_query_fails_the_others_stop_and_the_cause_is_raised(spark, waves, tmp_path):
+    waves.drop("arrival").write.parquet(f"{tmp_path}/in")
+
+    def fail(batch, batch_id):
+        raise RuntimeError("no room left")
+
+    def writers():
+        stream = spark.readStream.schema(TICK).parquet(f"{tmp_path}/in")
+        good = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+        return {"good": good, "bad": stream.writeStream.foreachBatch(fail)}
+
+    for _ in range(2):  # the end of earlier queries does not end the wait for later ones
+        with pytest.raises(StreamingQueryException, match="no room left"):
+            run_forever(spark, writers(), f"{tmp_path}/checkpoints")
+        assert not spark.streams.active
+    with pytest.raises(Exception, match="nowhere|PATH_NOT_FOUND|does not exist"):
+        missing = spark.readStream.schema(TICK).parquet(f"{tmp_path}/nowhere").writeStream.foreachBatch(fail)
+        run_forever(spark, {"good": writers()["good"], "missing": missing}, f"{tmp_path}/checkpoints")
+    assert not spark.streams.active
+
+
 def test_late_ticks(spark, make_ticks):
     """t=3 arrives while its window is open and counts; t=45 arrives after the watermark (50 s) and does not."""
     params = replace(REFERENCE, windows=(("10s", timedelta(seconds=10)),))
@@ -174,7 +263,7 @@ def test_state_provider_is_put_back(spark):
 
 def test_state_in_rocksdb(spark, waves):
     with state_store(spark, ROCKSDB):
-        actual = run_in_waves(waves, 4, lambda s: stream_shortest.stream_shortest_windows(s, REFERENCE))
+        actual = run_in_waves(waves, 4, lambda s: stream_shortest.stream_shortest_pairs(s, REFERENCE))
     watermark = last_time(waves) - REFERENCE.shortest_delay - REFERENCE.horizon
     batch = shortest.shortest_windows(waves.drop("arrival"), REFERENCE)
     same(actual, batch.filter(F.col("timestamp") < F.lit(watermark)))
@@ -202,7 +291,7 @@ def test_whole_pipeline_over_file_topics(spark, waves, tmp_path):
 
     ticks = waves.drop("arrival")
     end = last_time(waves)
-    stats = moving.moving_stats(ticks, PARAMS).filter(F.col("timestamp") <= F.lit(newest_pane_end(waves)))
+    stats = moving.moving_stats(ticks, PARAMS).filter(F.col("timestamp") <= closed_at(waves))
     records = decode(topics.replay(spark, MOVING_TOPIC), MOVING)
     same(rounded(moving.by_window(records, "windows")), rounded(moving.by_window(moving.as_array(stats, PARAMS), "windows")))
 
@@ -217,7 +306,7 @@ def test_whole_pipeline_over_file_topics(spark, waves, tmp_path):
     )
 
     out = end - PARAMS.shortest_delay - PARAMS.horizon
-    windows = shortest.shortest_windows(ticks, PARAMS).filter(F.col("timestamp") < F.lit(out))
+    windows = shortest.shortest_windows(ticks, PARAMS).filter(F.col("timestamp") <= F.lit(out))
     for topic, schema, column in ((HIGHER_TOPIC, HIGHER, "higher_window"), (LOWER_TOPIC, LOWER, "lower_window")):
         same(decode(topics.replay(spark, topic), schema), windows.select("timestamp", column))
         same(store.read(spark, topic).select("timestamp", column), windows.select("timestamp", column))

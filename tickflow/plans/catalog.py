@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tickflow.functions.records import HIGHER, LOWER, MOVING, TICK, ZSCORE, decode, encode
 from tickflow.functions.rounding import steady_round
@@ -21,12 +22,12 @@ from tickflow.sources.tables import as_ticks, events, events_stream
 from tickflow.sources.topics import HIGHER_TOPIC, INGEST_LIMIT, LOWER_TOPIC, MOVING_TOPIC, TICKS_TOPIC
 from tickflow.sources.topics import ZSCORE_TOPIC, FileTopics
 from tickflow.streaming import moving as stream_moving, shortest as stream_shortest, zscore as stream_zscores
-from tickflow.streaming.replay import run_in_waves
-from tickflow.streaming.runner import fan_out, run_available, scratch_folder, stored_result
+from tickflow.streaming.replay import replay, run_in_waves
+from tickflow.streaming.runner import run_available, scratch_folder, stored_result
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-JOINED_WINDOWS = ("30s", "1m")
+SHORT_WINDOWS = ("30s", "1m")
 OUTLIER_THRESHOLD = 1.5
 WAVES = 3
 
@@ -213,16 +214,16 @@ def encode_zscores_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _looked_into(messages: DataFrame, elements: str, fields: tuple[str, ...], digits: int = 6) -> DataFrame:
-    """JSON text by path: time and symbol as text, label and numbers of the first and the last element."""
+    """JSON text by path: time and symbol as text, and of every element its label and numbers."""
     columns = [
         F.get_json_object("value", "$.timestamp").alias("timestamp"),
         F.get_json_object("value", "$.symbol").alias("symbol"),
     ]
-    for name, i in (("first", 0), ("last", len(SCALED.labels) - 1)):
-        columns.append(F.get_json_object("value", f"$.{elements}[{i}].window").alias(f"{name}_window"))
+    for i in range(len(SCALED.labels)):
+        columns.append(F.get_json_object("value", f"$.{elements}[{i}].window").alias(f"window_{i}"))
         for field in fields:
             number = F.get_json_object("value", f"$.{elements}[{i}].{field}").cast("double")
-            columns.append(number.alias(f"{name}_{field}"))
+            columns.append(number.alias(f"{field}_{i}"))
     return published(messages.select(*columns), digits)
 
 
@@ -303,27 +304,49 @@ def stream_ticks_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(stored_result(decode(messages, TICK)))
 
 
-def stream_moving_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_folder(spark)
+def _arriving(spark: SparkSession, sf_dir: str, late: bool = False) -> DataFrame:
+    """Ticks with the wave they arrive in (``arrival``), in the order of time; if wished, every tenth one wave late."""
+    rows = events(spark, sf_dir)
+    us = F.unix_micros("ts")
+    first, last = rows.agg(F.min(us), F.max(us)).first()
+    wave = F.call_function("div", (us - F.lit(first)) * WAVES, F.lit(last - first + 1))
+    if late:
+        wave = wave + F.when(F.col("event_id") % 10 == 3, 1).otherwise(0)
+    return as_ticks(rows.withColumn("arrival", wave), "arrival")
+
+
+def _written_in_waves(ticks: DataFrame, writer: Callable, waves: int = WAVES) -> tuple[DataFrame, list[StreamingQuery]]:
+    """What a writer (of ticks, durations, work folder, sinks) hands to its sink, wave by wave; and its runs."""
+    folder = scratch_folder(ticks.sparkSession)
 
     def store(rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
 
-    writer = stream_moving.moving_stats_writer(tick_stream(spark, sf_dir), SCALED, folder, [store])
-    run_available(writer, f"{folder}/checkpoint", spark)
-    return published(spark.read.parquet(f"{folder}/rows").drop("batch"))
+    runs = replay(ticks, waves, lambda stream: writer(stream, SCALED, f"{folder}/work", [store]), folder)
+    return ticks.sparkSession.read.parquet(f"{folder}/rows").drop("batch"), runs
+
+
+def stream_moving_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return published(_written_in_waves(_arriving(spark, sf_dir), stream_moving.moving_stats_writer)[0])
 
 
 def stream_window_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return published(stored_result(stream_moving.stream_window_ends(tick_stream(spark, sf_dir), SCALED)))
+    return published(
+        run_in_waves(_arriving(spark, sf_dir), WAVES, lambda s: stream_moving.stream_window_ends(s, SCALED))
+    )
 
 
 def stream_moving_stats_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    params = SCALED.only(*JOINED_WINDOWS)
-    return published(stored_result(stream_moving.stream_moving_stats_join(tick_stream(spark, sf_dir), params)))
+    return published(stored_result(stream_moving.stream_moving_stats_join(tick_stream(spark, sf_dir), SCALED)))
 
 
 def stream_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _written_in_waves(_arriving(spark, sf_dir), stream_zscores.zscore_writer)[0]
+    return published(moving.by_window(records, "zscores"), digits=4)
+
+
+def stream_zscore_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in one streaming DataFrame, by a stream-stream join."""
     records = stored_result(stream_zscores.stream_zscore_of_ticks(tick_stream(spark, sf_dir), SCALED))
     return published(moving.by_window(records, "zscores"), digits=4)
 
@@ -336,23 +359,31 @@ def stream_zscore_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
     def to_topic(stats: DataFrame, batch_id: int) -> None:
         topics.write(encode(moving.as_array(stats, SCALED), MOVING), MOVING_TOPIC, batch_id)
 
-    writer = stream_moving.moving_stats_writer(tick_stream(spark, sf_dir), SCALED, folder, [to_topic])
-    run_available(writer, f"{folder}/checkpoint", spark)
+    ticks = _arriving(spark, sf_dir)
+    replay(
+        ticks, WAVES, lambda s: stream_moving.moving_stats_writer(s, SCALED, f"{folder}/work", [to_topic]), f"{folder}/moving"
+    )
     records = decode(topics.read_stream(spark, MOVING_TOPIC), MOVING)
-    scores = stream_zscores.stream_zscore_of_records(tick_stream(spark, sf_dir), records, SCALED)
-    return published(moving.by_window(stored_result(scores), "zscores"), digits=4)
+    scores = run_in_waves(ticks, WAVES, lambda s: stream_zscores.stream_zscore_of_records(s, records, SCALED))
+    return published(moving.by_window(scores, "zscores"), digits=4)
 
 
 def stream_shortest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return published(stored_result(stream_shortest.stream_shortest_windows(tick_stream(spark, sf_dir), SCALED)))
+    return published(_written_in_waves(_arriving(spark, sf_dir), stream_shortest.shortest_windows_writer)[0])
+
+
+def stream_shortest_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in one streaming DataFrame, by an interval self-join."""
+    return published(stored_result(stream_shortest.stream_shortest_pairs(tick_stream(spark, sf_dir), SCALED)))
 
 
 def stream_shortest_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One streaming result to two topics; both topics read back."""
     folder = scratch_folder(spark)
     topics = FileTopics(folder)
-    rows = stream_shortest.stream_shortest_windows(tick_stream(spark, sf_dir), SCALED)
-    run_available(fan_out(rows, stream_shortest.higher_lower_sinks(topics)), f"{folder}/checkpoint", spark)
+    sinks = stream_shortest.higher_lower_sinks(topics)
+    writer = stream_shortest.shortest_windows_writer(tick_stream(spark, sf_dir), SCALED, f"{folder}/work", sinks)
+    run_available(writer, f"{folder}/checkpoint", spark)
     sides = [
         decode(topics.replay(spark, topic), schema).select(
             F.lit(side).alias("side"), "timestamp", F.col(f"{side}_window").alias("seconds")
@@ -367,24 +398,35 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A late event counts only for the windows the watermark has not closed before its wave.
     """
-    rows = events(spark, sf_dir)
-    us = F.unix_micros("ts")
-    first, last = rows.agg(F.min(us), F.max(us)).first()
-    on_time = F.call_function("div", (us - F.lit(first)) * WAVES, F.lit(last - first + 1))
-    late = F.when(F.col("event_id") % 10 == 3, 1).otherwise(0)
-    arriving = as_ticks(rows.withColumn("arrival", on_time + late), "arrival")
     counts = run_in_waves(
-        arriving, WAVES + 1, lambda stream: stream_moving.stream_window_counts(stream, SCALED, "5m")
+        _arriving(spark, sf_dir, late=True), WAVES + 1, lambda s: stream_moving.stream_window_counts(s, SCALED, "5m")
     )
     return published(counts)
 
 
+def stream_late_moving_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moving statistics of the same arrivals: a late tick counts only if its pane is still open."""
+    late = _arriving(spark, sf_dir, late=True)
+    return published(_written_in_waves(late, stream_moving.moving_stats_writer, WAVES + 1)[0])
+
+
+def stream_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many panes and marks of symbols each wave brought too late, as the query's progress tells."""
+    late = _arriving(spark, sf_dir, late=True)
+    _, runs = _written_in_waves(late, stream_moving.moving_stats_writer, WAVES + 1)
+    dropped = [
+        (wave, sum(op["numRowsDroppedByWatermark"] for batch in run.recentProgress for op in batch["stateOperators"]))
+        for wave, run in enumerate(runs)
+    ]
+    return spark.createDataFrame(dropped, "arrival long, dropped long")
+
+
 QUERIES: dict[str, Query] = {
     "moving_stats": moving_stats,
     "moving_stats_reference": moving_stats_reference,
     "moving_stats_join": moving_stats_join,
     **{f"moving_avg_std_{label}": _moving_avg_std(label) for label in SCALED.labels},
-    **{f"moving_avg_std_reference_{label}": _moving_avg_std(label, REFERENCE) for label in JOINED_WINDOWS},
+    **{f"moving_avg_std_reference_{label}": _moving_avg_std(label, REFERENCE) for label in SHORT_WINDOWS},
     "moving_stats_array": moving_stats_array,
     "moving_by_window": moving_by_window,
     "zscore": zscore_array,
@@ -417,8 +459,12 @@ QUERIES: dict[str, Query] = {
     "stream_window_ends": stream_window_ends,
     "stream_moving_stats_join": stream_moving_stats_join,
     "stream_zscore": stream_zscore,
+    "stream_zscore_join": stream_zscore_join,
     "stream_zscore_chained": stream_zscore_chained,
     "stream_shortest_windows": stream_shortest_windows,
+    "stream_shortest_pairs": stream_shortest_pairs,
     "stream_shortest_sinks": stream_shortest_sinks,
     "stream_late_data": stream_late_data,
+    "stream_late_moving_stats": stream_late_moving_stats,
+    "stream_late_dropped": stream_late_dropped,
 }

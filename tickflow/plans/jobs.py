@@ -42,7 +42,7 @@ from tickflow.sources.topics import (
 )
 from tickflow.streaming.moving import moving_stats_writer
 from tickflow.streaming.runner import fan_out, run_forever
-from tickflow.streaming.shortest import higher_lower_sinks, stream_shortest_windows
+from tickflow.streaming.shortest import higher_lower_sinks, shortest_windows_writer
 from tickflow.streaming.zscore import stream_zscore_of_records
 
 
@@ -81,8 +81,8 @@ def zscore_job(spark: SparkSession, config: JobConfig) -> Writers:
 
 
 def shortest_job(spark: SparkSession, config: JobConfig) -> Writers:
-    rows = stream_shortest_windows(_ticks(spark, config), config.params)
-    return {"shortest": fan_out(rows, higher_lower_sinks(config.topics))}
+    sinks = higher_lower_sinks(config.topics)
+    return {"shortest": shortest_windows_writer(_ticks(spark, config), config.params, f"{config.work_folder}/shortest", sinks)}
 
 
 def load_job(spark: SparkSession, config: JobConfig) -> Writers:

@@ -6,7 +6,7 @@ method in it.
 
 from __future__ import annotations
 
-from tickflow.plans.catalog import JOINED_WINDOWS, OUTLIER_THRESHOLD, WAVES
+from tickflow.plans.catalog import SHORT_WINDOWS, OUTLIER_THRESHOLD, WAVES
 from tickflow.plans.params import REFERENCE, SCALED, TickParams, micros
 
 
@@ -18,8 +18,8 @@ def _rounded(expression: str, digits: int = 6) -> str:
     return f"round(({expression}) + 1e-9, {digits})"
 
 
-def _moving_cte(params: TickParams = SCALED) -> str:
-    """m: unrounded moving statistics, one row per symbol and window end."""
+def _moving_cte(params: TickParams = SCALED, source: str = "events") -> str:
+    """m: unrounded moving statistics of the ticks of ``source``, one row per symbol and window end."""
     shortest = params.panes(params.labels[0])
     stats = ", ".join(
         f"avg(value) FILTER (WHERE i <= {params.panes(w)}) AS avg_{w}, "
@@ -31,7 +31,7 @@ def _moving_cte(params: TickParams = SCALED) -> str:
     return f"""m AS (
       SELECT symbol, "timestamp", {stats}
       FROM (SELECT event_type AS symbol, i, value, time_bucket({slide}, ts) + i * {slide} AS "timestamp"
-            FROM events, range(1, {longest + 1}) AS r(i)) AS x
+            FROM {source}, range(1, {longest + 1}) AS r(i)) AS x
       GROUP BY symbol, "timestamp"
       HAVING count(*) FILTER (WHERE i <= {shortest}) > 0)"""
 
@@ -84,9 +84,8 @@ LAST_SLIDE = f"time_bucket({_span(SCALED.slide)}, (SELECT max(ts) FROM events))"
 
 # What an append-mode stream has put out at the end of its input: rows the final watermark has passed.
 ENDS_OUT = f"{LAST_SLIDE} - {_span(SCALED.moving_delay)}"
-PANE_END = f"time_bucket({_span(SCALED.slide)}, ts) + {_span(SCALED.slide)}"
-PANES_OUT = f"(SELECT max({PANE_END}) FROM events WHERE {PANE_END} <= {LAST} - {_span(SCALED.moving_delay)})"
-JOINED_OUT = f"{LAST} - {_span(SCALED.moving_delay)}"
+PANE_END = f"time_bucket({_span(SCALED.slide)}, {{}}) + {_span(SCALED.slide)}"
+CLOSED = f"{LAST} - {_span(SCALED.moving_delay)}"
 ZSCORES_OUT = f"least({LAST} - {_span(SCALED.zscore_tick_delay)}, {LAST_SLIDE} - {_span(SCALED.zscore_moving_delay)})"
 SHORTEST_OUT = f"{LAST} - {_span(SCALED.shortest_delay)} - {_span(SCALED.horizon)}"
 
@@ -117,34 +116,62 @@ def _positions(prefix: str, source: str, digits: int = 6) -> str:
     return ", ".join(f"{_rounded(f'{source}_{w}', digits)} AS {prefix}_{i}" for i, w in enumerate(SCALED.labels))
 
 
+def _labelled() -> str:
+    return ", ".join(f"'{w}' AS window_{i}" for i, w in enumerate(SCALED.labels))
+
+
 LABELS = ",".join(SCALED.labels)
-FIRST, FINAL = SCALED.labels[0], SCALED.labels[-1]
+FIRST = SCALED.labels[0]
 DECODED = f"""SELECT event_type AS symbol, {_rounded("value")} AS price, {MILLIS.format("ts")} AS event_time FROM events"""
 
 
-def _late_data() -> str:
-    """Windows per arriving event, without those closed before its wave; then what the last watermark lets out."""
-    delay, slide, panes = _span(SCALED.moving_delay), _span(SCALED.slide), SCALED.panes("5m")
-    return f"""WITH span AS (SELECT epoch_us(min(ts)) AS first, epoch_us(max(ts)) AS last FROM events),
-      a AS (SELECT ts, event_type AS symbol, value,
+def _arrivals() -> str:
+    """a: ticks with the wave they arrive in; closed: the watermark each wave finds."""
+    return f"""span AS (SELECT epoch_us(min(ts)) AS first, epoch_us(max(ts)) AS last FROM events),
+      a AS (SELECT ts, event_type, value,
                    (epoch_us(ts) - first) * {WAVES} // (last - first + 1)
                      + CASE WHEN event_id % 10 = 3 THEN 1 ELSE 0 END AS arrival
             FROM events, span),
-      closed AS (SELECT w.arrival, max({MILLIS.format("a.ts")}) - {delay} AS watermark
-                 FROM (SELECT DISTINCT arrival FROM a) AS w LEFT JOIN a ON a.arrival < w.arrival GROUP BY w.arrival),
-      x AS (SELECT symbol, value, time_bucket({slide}, ts) + i * {slide} AS "timestamp", watermark
+      closed AS (SELECT w.arrival, max({MILLIS.format("a.ts")}) - {_span(SCALED.moving_delay)} AS watermark
+                 FROM (SELECT DISTINCT arrival FROM a) AS w LEFT JOIN a ON a.arrival < w.arrival GROUP BY w.arrival)"""
+
+
+def _late_data() -> str:
+    """Windows per arriving event, without those closed before its wave; then what the last watermark lets out."""
+    slide, panes = _span(SCALED.slide), SCALED.panes("5m")
+    return f"""WITH {_arrivals()},
+      x AS (SELECT event_type AS symbol, value, time_bucket({slide}, ts) + i * {slide} AS "timestamp", watermark
             FROM a JOIN closed USING (arrival), range(1, {panes + 1}) AS r(i))
       SELECT symbol, "timestamp", count(*) AS n, {_rounded("sum(value)")} AS sum_price
-      FROM x WHERE (watermark IS NULL OR "timestamp" > watermark) AND "timestamp" <= {LAST} - {delay}
+      FROM x WHERE (watermark IS NULL OR "timestamp" > watermark) AND "timestamp" <= {CLOSED}
       GROUP BY symbol, "timestamp" """
 
 
+def _late_moving_stats() -> str:
+    """The definition over the ticks whose pane is open when they arrive."""
+    open_pane = f"watermark IS NULL OR {PANE_END.format('ts')} > watermark"
+    kept = f"kept AS (SELECT * FROM a JOIN closed USING (arrival) WHERE {open_pane})"
+    columns = ", ".join(f"{_rounded(f'{k}_{w}')} AS {k}_{w}" for w in SCALED.labels for k in ("avg", "std"))
+    return f"""WITH {_arrivals()}, {kept}, {_moving_cte(source="kept")}
+      SELECT symbol, "timestamp", {columns} FROM m WHERE "timestamp" <= {CLOSED}"""
+
+
+def _late_dropped() -> str:
+    """Per wave the distinct (symbol, pane) that its ticks fall into or mark and that were closed before."""
+    slide, shortest = _span(SCALED.slide), SCALED.panes(FIRST)
+    return f"""WITH {_arrivals()},
+      x AS (SELECT arrival, event_type, time_bucket({slide}, ts) + i * {slide} AS pane_end, watermark
+            FROM a JOIN closed USING (arrival), range(1, {shortest + 1}) AS r(i))
+      SELECT arrival, count(DISTINCT (event_type, pane_end)) FILTER (WHERE pane_end <= watermark) AS dropped
+      FROM x GROUP BY arrival"""
+
+
 ORACLES: dict[str, str] = {
     "moving_stats": _moving(),
     "moving_stats_reference": _moving(REFERENCE),
     "moving_stats_join": _moving(),
     **{f"moving_avg_std_{w}": _moving_single(w) for w in SCALED.labels},
-    **{f"moving_avg_std_reference_{w}": _moving_single(w, REFERENCE) for w in JOINED_WINDOWS},
+    **{f"moving_avg_std_reference_{w}": _moving_single(w, REFERENCE) for w in SHORT_WINDOWS},
     "moving_stats_array": f"""WITH {_moving_cte()} SELECT "timestamp", symbol, '{LABELS}' AS labels,
         {_positions("avg", "avg")}, {_positions("std", "std")} FROM m""",
     "moving_by_window": _moving_rows(),
@@ -184,13 +211,9 @@ ORACLES: dict[str, str] = {
     "encode_ticks_json": f"""SELECT '{{"symbol":"' || event_type || '","price":' || CAST(value AS VARCHAR)
         || ',"event_time":"' || {ISO.format("ts")} || '"}}' AS value FROM events""",
     "encode_moving_json": f"""WITH {_moving_cte()} SELECT {ISO.format('"timestamp"')} AS "timestamp", symbol,
-        '{FIRST}' AS first_window, {_rounded(f"avg_{FIRST}")} AS first_avg_price,
-        {_rounded(f"std_{FIRST}")} AS first_std_price,
-        '{FINAL}' AS last_window, {_rounded(f"avg_{FINAL}")} AS last_avg_price,
-        {_rounded(f"std_{FINAL}")} AS last_std_price FROM m""",
+        {_labelled()}, {_positions("avg_price", "avg")}, {_positions("std_price", "std")} FROM m""",
     "encode_zscores_json": f"""WITH {_zscore_cte()} SELECT {ISO.format('"timestamp"')} AS "timestamp", symbol,
-        '{FIRST}' AS first_window, {_rounded(f"z_{FIRST}", 4)} AS first_zscore_price,
-        '{FINAL}' AS last_window, {_rounded(f"z_{FINAL}", 4)} AS last_zscore_price FROM z""",
+        {_labelled()}, {_positions("zscore_price", "z", 4)} FROM z""",
     "decode_ticks": DECODED,
     "decode_malformed": f"""SELECT event_id,
         CASE WHEN event_id % 7 NOT IN (0, 4) THEN event_type END AS symbol,
@@ -204,19 +227,27 @@ ORACLES: dict[str, str] = {
         {_rounded("std_1m")} AS std_price FROM m ORDER BY "timestamp", symbol LIMIT 5""",
     "readback_count": f"WITH {_moving_cte()} SELECT count(*) AS n FROM m",
     "stream_ticks_passthrough": DECODED,
-    "stream_moving_stats": _moving(where=f'"timestamp" <= {PANES_OUT}'),
+    "stream_moving_stats": _moving(where=f'"timestamp" <= {CLOSED}'),
     "stream_window_ends": _moving(where=f'"timestamp" <= {ENDS_OUT}'),
-    "stream_moving_stats_join": _moving(SCALED.only(*JOINED_WINDOWS), where=f'"timestamp" <= {JOINED_OUT}'),
-    "stream_zscore": _zscore_rows(where=f"window_end <= {ZSCORES_OUT}"),
-    "stream_zscore_chained": _zscore_rows(where=f"window_end <= {PANES_OUT}"),
+    "stream_moving_stats_join": _moving(where=f'"timestamp" <= {ENDS_OUT}'),
+    "stream_zscore": _zscore_rows(
+        where=f"""{PANE_END.format('"timestamp"')} <= {LAST} - {_span(SCALED.zscore_tick_delay)}"""
+    ),
+    "stream_zscore_join": _zscore_rows(where=f"window_end <= {ZSCORES_OUT}"),
+    "stream_zscore_chained": _zscore_rows(where=f"window_end <= {CLOSED}"),
     "stream_shortest_windows": _shortest(
+        f'"timestamp", symbol, {HIGHER_LOWER}', where=f'"timestamp" <= {SHORTEST_OUT}'
+    ),
+    "stream_shortest_pairs": _shortest(
         f'"timestamp", symbol, {HIGHER_LOWER}', where=f'"timestamp" < {SHORTEST_OUT}'
     ),
     "stream_shortest_sinks": " UNION ALL ".join(
         f"""SELECT * FROM ({_shortest(
             f'''{chr(39)}{side}{chr(39)} AS side, {MILLIS.format('"timestamp"')} AS "timestamp",
-            {_seconds(side)} AS seconds''', where=f'"timestamp" < {SHORTEST_OUT}')}) AS s_{side}"""
+            {_seconds(side)} AS seconds''', where=f'"timestamp" <= {SHORTEST_OUT}')}) AS s_{side}"""
         for side in ("higher", "lower")
     ),
     "stream_late_data": _late_data(),
+    "stream_late_moving_stats": _late_moving_stats(),
+    "stream_late_dropped": _late_dropped(),
 }

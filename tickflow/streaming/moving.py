@@ -2,13 +2,15 @@
 
 ``moving_stats_writer`` is the form for busy streams: the stream itself only aggregates ticks to panes of one slide, and
 each micro-batch runs the batch operator over the panes that have closed and those their windows reach back to. Per
-tick that is one update of one small state row. ``stream_window_ends`` does it in a single streaming DataFrame, to be
-joined or written like any other, at the price of one update per tick and slide of the longest window.
+tick that is an update of one small state row and of a mark for each window end at which the tick alone makes a row due.
+``stream_window_ends`` does it in a single streaming DataFrame, to be joined or written like any other, at the price of
+one update per tick and slide of the longest window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,20 +20,41 @@ from pyspark.sql.streaming import DataStreamWriter
 from tickflow.functions.moments import exact_avg, exact_stddev, price_moments
 from tickflow.functions.timegrid import floor_div, grid_index, grid_time
 from tickflow.operators.moving import stats_of_panes, window_moments
-from tickflow.plans.params import TickParams, interval
-
+from tickflow.plans.params import TickParams, interval, micros
+from tickflow.streaming.released import ReleasedRows
 
 PANE_COLUMNS = "symbol string, pane bigint, ticks bigint, n bigint, mean double, m2 double"
 
 Sink = Callable[[DataFrame, int], None]
 
 
+def with_due_marks(ticks: DataFrame, params: TickParams, delay: timedelta) -> DataFrame:
+    """Each tick (``ahead`` 0) and a mark in each of the panes after it in which the shortest window still holds it.
+
+    A window's row is due iff the shortest window holds a tick, so every due row has a mark in its last pane, and the
+    watermark releases the mark when the window is final, whether or not another tick follows. The watermark is on the
+    marks' time ``at``; its delay grows by as much as marks run ahead, so ticks are late as they would be without them.
+    """
+    shortest = params.panes(params.labels[0])
+    ahead = F.explode(F.sequence(F.lit(0), F.lit(shortest - 1))).alias("ahead")
+    marks = ticks.filter(F.col("event_time").isNotNull()).select("symbol", "price", "event_time", ahead)
+    at = F.timestamp_micros(F.unix_micros("event_time") + F.col("ahead").cast("long") * F.lit(micros(params.slide)))
+    return marks.withColumn("at", at).withWatermark("at", interval(delay + (shortest - 1) * params.slide))
+
+
+def tick_moments() -> list[Column]:
+    """Price moments of the ticks among the marks."""
+    own = F.col("ahead") == 0
+    return [F.count(F.when(own, 1)).alias("ticks"), *price_moments(F.when(own, F.col("price")))[1:]]
+
+
 def stream_panes(ticks: DataFrame, params: TickParams) -> DataFrame:
-    """Price moments per symbol and pane, put out once when the watermark has passed the pane."""
+    """Price moments per symbol and pane, put out once when the watermark has passed the pane; ``ticks`` is 0 for a pane
+    that only holds marks."""
     return (
-        ticks.withWatermark("event_time", interval(params.moving_delay))
-        .groupBy(F.window("event_time", interval(params.slide)), "symbol")
-        .agg(*price_moments(F.col("price")))
+        with_due_marks(ticks, params, params.moving_delay)
+        .groupBy(F.window("at", interval(params.slide)), "symbol")
+        .agg(*tick_moments())
         .select("symbol", grid_index(F.col("window.start"), params.slide).alias("pane"), "ticks", "n", "mean", "m2")
     )
 
@@ -39,37 +62,48 @@ def stream_panes(ticks: DataFrame, params: TickParams) -> DataFrame:
 def moving_stats_writer(ticks: DataFrame, params: TickParams, folder: str, sinks: list[Sink]) -> DataStreamWriter:
     """Moving statistics (wide form) of a stream, handed to every sink as (rows, batch id).
 
-    A closed pane is final, and so is every window that ends no later than the newest closed pane. Each batch puts out
-    the windows that became final by its panes. ``folder``, shared by the executors, keeps the closed panes, in
-    sub-folders of one longest window each so that a batch opens only what its windows reach back to, and the newest
-    closed pane after each batch. Whatever a repeated batch writes replaces what it wrote before.
+    Each batch puts out the windows whose last pane it closed, which are all windows that end at or before the
+    watermark and were not out before. ``folder``, shared by the executors, keeps the closed panes that later windows
+    reach back to. Whatever a repeated batch writes replaces what it wrote before.
     """
-    spark = ticks.sparkSession
+    store = ReleasedRows(ticks.sparkSession, folder, PANE_COLUMNS)
     longest = params.largest // params.slide
 
     def write_batch(panes: DataFrame, batch_id: int) -> None:
         panes.persist()
         try:
-            before = _newest_pane(spark, folder, batch_id - 1)
+            before = store.reached(batch_id - 1)
             newest = panes.agg(F.max("pane")).first()[0]
+            first = None if before is None else before + 2 - longest
             if newest is not None:
-                _store_panes(panes, folder, batch_id, longest)
-                first = None if before is None else before + 2 - longest
-                known = _stored_panes(spark, folder, first, newest, longest)
-                moments = window_moments(known, params).filter(F.col("pane") <= newest)
-                if before is not None:
-                    moments = moments.filter(F.col("pane") > before)
-                _to_sinks(stats_of_panes(moments, params), batch_id, sinks)
-            after = before if newest is None else newest
-            row = spark.range(0, 1, 1, 1).select(F.lit(after).cast("bigint").alias("newest"))
-            row.write.mode("overwrite").parquet(f"{folder}/newest/batch={batch_id}")
+                keep_panes(store, panes, batch_id, longest)
+                moments = window_moments(known_panes(store, first, longest), params)
+                to_sinks(stats_of_panes(closed_windows(moments, before, newest), params), batch_id, sinks)
+            store.finish(batch_id, before if newest is None else newest, None if first is None else first // longest)
         finally:
             panes.unpersist()
 
     return stream_panes(ticks, params).writeStream.foreachBatch(write_batch).outputMode("append")
 
 
-def _to_sinks(rows: DataFrame, batch_id: int, sinks: list[Sink]) -> None:
+def keep_panes(store: ReleasedRows, panes: DataFrame, batch_id: int, longest: int) -> None:
+    """Keep the panes that hold ticks, in spans of one longest window."""
+    store.keep(panes.filter("ticks > 0").withColumn("span", floor_div(F.col("pane"), longest)), batch_id)
+
+
+def known_panes(store: ReleasedRows, first: int | None, longest: int) -> DataFrame:
+    if first is None:
+        return store.known(None)
+    return store.known(first // longest).filter(F.col("pane") >= first)
+
+
+def closed_windows(moments: DataFrame, before: int | None, newest: int) -> DataFrame:
+    """Those whose last pane lies after ``before`` and not after ``newest``."""
+    closed = moments.filter(F.col("pane") <= newest)
+    return closed if before is None else closed.filter(F.col("pane") > before)
+
+
+def to_sinks(rows: DataFrame, batch_id: int, sinks: list[Sink]) -> None:
     if len(sinks) > 1:
         rows.persist()
     try:
@@ -79,35 +113,6 @@ def _to_sinks(rows: DataFrame, batch_id: int, sinks: list[Sink]) -> None:
         rows.unpersist()
 
 
-def _newest_pane(spark, folder: str, batch_id: int) -> int | None:
-    """The newest closed pane after a batch; every batch leaves exactly one such row."""
-    if batch_id < 0:
-        return None
-    return spark.read.schema("newest bigint").parquet(f"{folder}/newest/batch={batch_id}").first()[0]
-
-
-def _store_panes(panes: DataFrame, folder: str, batch_id: int, longest: int) -> None:
-    (
-        panes.withColumns({"span": floor_div(F.col("pane"), longest), "batch": F.lit(batch_id)})
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("span", "batch")
-        .parquet(f"{folder}/panes")
-    )
-
-
-def _stored_panes(spark, folder: str, first: int | None, newest: int, longest: int) -> DataFrame:
-    """Stored panes from ``first`` (or the beginning) to ``newest``; other spans' folders are not listed."""
-    root, path = f"{folder}/panes", f"{folder}/panes"
-    if first is not None:
-        spans = range(first // longest, newest // longest + 1)
-        path = f"{root}/span={{{','.join(map(str, spans))}}}"
-    stored = spark.read.schema(f"{PANE_COLUMNS}, span bigint, batch bigint").option("basePath", root).parquet(path)
-    if first is not None:
-        stored = stored.filter((F.col("span") >= first // longest) & (F.col("pane") >= first))
-    return stored.drop("span", "batch")
-
-
 def stream_window_ends(ticks: DataFrame, params: TickParams) -> DataFrame:
     """All windows in one aggregate over the window ends a tick can count for.
 
@@ -138,28 +143,32 @@ def stream_window_ends(ticks: DataFrame, params: TickParams) -> DataFrame:
 
 
 def stream_moving_avg_std(ticks: DataFrame, params: TickParams, label: str) -> DataFrame:
-    """One sliding window, with its time column ``window_time`` (end - 1 us) that still carries the watermark."""
-    return (
-        ticks.withWatermark("event_time", interval(params.moving_delay))
-        .groupBy(F.window("event_time", interval(dict(params.windows)[label]), interval(params.slide)), "symbol")
-        .agg(exact_avg(F.col("price")).alias(f"avg_{label}"), exact_stddev(F.col("price")).alias(f"std_{label}"))
-        .select("symbol", F.window_time("window").alias("window_time"), f"avg_{label}", f"std_{label}")
+    """One sliding window by its end (``timestamp``, which carries the watermark).
+
+    Ends run ahead of the ticks by up to the window, so the delay grows by that length: windows of all lengths are
+    released by the same watermark, the last slide boundary less ``moving_delay``.
+    """
+    length = params.panes(label)
+    pane = grid_index(F.col("event_time"), params.slide)
+    per_end = (
+        ticks.filter(F.col("event_time").isNotNull())
+        .select("symbol", "price", pane.alias("pane"), F.explode(F.sequence(F.lit(1), F.lit(length))).alias("ahead"))
+        .select("symbol", "price", grid_time(F.col("pane") + F.col("ahead"), params.slide).alias("timestamp"))
+        .withWatermark("timestamp", interval(length * params.slide + params.moving_delay))
     )
+    average, deviation = exact_avg(F.col("price")), exact_stddev(F.col("price"))
+    return per_end.groupBy("symbol", "timestamp").agg(average.alias(f"avg_{label}"), deviation.alias(f"std_{label}"))
 
 
 def stream_moving_stats_join(ticks: DataFrame, params: TickParams) -> DataFrame:
-    """The windows as separate aggregates, joined on (symbol, window).
+    """The windows as separate aggregates, joined on (symbol, window end).
 
-    The join runs on ``window_time`` rather than on the window end, because only that column tells Spark when it may
-    forget join state.
+    The end is a plain column with the watermark on it, not a field of a window, so each of the joins knows from its key
+    when it may forget state.
     """
     parts = [stream_moving_avg_std(ticks, params, label) for label in params.labels]
-    joined = reduce(lambda left, right: left.join(right, ["symbol", "window_time"], "inner"), parts)
-    return joined.select(
-        "symbol",
-        F.timestamp_micros(F.unix_micros("window_time") + 1).alias("timestamp"),
-        *[f"{kind}_{label}" for label in params.labels for kind in ("avg", "std")],
-    )
+    joined = reduce(lambda left, right: left.join(right, ["symbol", "timestamp"], "inner"), parts)
+    return joined.select("symbol", "timestamp", *[f"{kind}_{label}" for label in params.labels for kind in ("avg", "std")])
 
 
 def stream_window_counts(ticks: DataFrame, params: TickParams, label: str) -> DataFrame:

@@ -60,11 +60,20 @@ def run_available(writer: DataStreamWriter, checkpoint: str, spark: SparkSession
 
 
 def run_forever(spark: SparkSession, writers: dict[str, DataStreamWriter], checkpoint_root: str) -> None:
-    """Start all queries, each with its own checkpoint, and wait until one of them ends."""
-    with state_store(spark):
-        for name, writer in writers.items():
-            writer.queryName(name).option("checkpointLocation", f"{checkpoint_root}/{name}").start()
-    spark.streams.awaitAnyTermination()
+    """Start all queries, each with its own checkpoint, and wait until one of them ends.
+
+    Then, or if one can't be started, the others are stopped; the error of the one that failed is raised.
+    """
+    started: list[StreamingQuery] = []
+    spark.streams.resetTerminated()
+    try:
+        with state_store(spark):
+            for name, writer in writers.items():
+                started.append(writer.queryName(name).option("checkpointLocation", f"{checkpoint_root}/{name}").start())
+        spark.streams.awaitAnyTermination()
+    finally:
+        for query in started:
+            query.stop()
 
 
 def stored_result(stream: DataFrame) -> DataFrame:
