@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 from datetime import timedelta
 
 import pytest
@@ -120,6 +121,25 @@ def test_busy_block_is_dealt_out(spark):
     assert late.select("event_time").distinct().count() == 1
 
 
+def test_many_busy_blocks(spark):
+    """Every one of 12,000 blocks is busy; with a small table of them sent to all tasks or shuffled, rows are the same."""
+    ticks = spark.range(36_000).select(
+        F.concat(F.lit("S"), F.col("id") % 3).alias("symbol"),
+        F.timestamp_millis(F.col("id") * 1_700).alias("event_time"),
+        F.pmod(F.xxhash64("id"), F.lit(50)).cast("double").alias("price"),
+    )
+    params = replace(REFERENCE, horizon=timedelta(seconds=15))
+    assert shortest.busy_blocks(ticks, params, 1).count() > 12_000
+    expected = found(shortest.first_higher_lower(ticks, params))
+    assert found(shortest.first_higher_lower(ticks, params, 1)) == expected
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        assert found(shortest.first_higher_lower(ticks, params, 1)) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_plan_forms_no_pairs(spark):
     from tickflow.sources.tables import as_ticks, events
 

@@ -15,7 +15,9 @@ That is one row per tick and bit, sorted, instead of one row per pair: n log n r
 
 A block is the unit of work. One that holds very many ticks can do so only with many prices per instant, as instants
 are microseconds; of these only the highest and the lowest price can be anybody's answer. So the ticks of busy blocks
-are dealt out to several shares as questions, and each share gets a copy of these two prices per instant.
+are dealt out as questions to as many shares as their number asks for, and each share gets a copy of these two prices
+per instant. The busy blocks, however many, are a stored table of their own: from its size Spark knows before the join
+whether to send it to all tasks or to shuffle.
 """
 
 from __future__ import annotations
@@ -28,12 +30,10 @@ from pyspark.sql import functions as F
 from tickflow.functions.timegrid import grid_index
 from tickflow.operators.ticks import valid_ticks
 from tickflow.plans.params import TickParams, interval, micros
+from tickflow.sources.tables import stored
 
-# Blocks above this number of ticks are split into shares of about this size.
+#: Blocks above this number of ticks are split into shares of about this size.
 BUSY_BLOCK = 4_000_000
-# Bounds of the table of busy blocks, which is broadcast, and of the copies; a block beyond them is worked on whole.
-MAX_BUSY_BLOCKS = 10_000
-MAX_SHARES = 1_000
 
 
 def forward_pairs(ticks: DataFrame, params: TickParams) -> DataFrame:
@@ -75,18 +75,11 @@ def first_in_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def busy_blocks(ticks: DataFrame, params: TickParams, busy_block: int) -> DataFrame:
-    """(symbol, block, shares) of the blocks with more than ``busy_block`` ticks, the busiest ones if they are many.
-
-    Reads two columns and counts before the shuffle. What is not listed is still answered, only in one piece.
-    """
+    """(symbol, block, shares) of the blocks with more than ``busy_block`` ticks; reads two columns and counts before
+    the shuffle."""
     count = ticks.groupBy("symbol", grid_index(F.col("event_time"), params.horizon).alias("block")).count()
-    shares = F.least(F.ceil(F.col("count") / busy_block), F.lit(MAX_SHARES)).cast("int")
-    return (
-        count.filter(F.col("count") > busy_block)
-        .orderBy(F.col("count").desc())
-        .limit(MAX_BUSY_BLOCKS)
-        .select("symbol", "block", shares.alias("shares"))
-    )
+    shares = F.ceil(F.col("count") / busy_block).cast("int")
+    return count.filter(F.col("count") > busy_block).select("symbol", "block", shares.alias("shares"))
 
 
 def _place(block: str, share: str, asks: bool, answers: bool, home: bool) -> str:
@@ -99,11 +92,9 @@ def _placed(ticks: DataFrame, params: TickParams, busy_block: int) -> DataFrame:
 
     ``home`` tells the block's own ticks from the copies of the next block's.
     """
-    busy = busy_blocks(ticks, params, busy_block)
-    own = F.broadcast(busy.withColumnRenamed("shares", "own_shares"))
-    previous = F.broadcast(
-        busy.select("symbol", (F.col("block") + 1).alias("block"), F.col("shares").alias("previous_shares"))
-    )
+    busy = stored(busy_blocks(ticks, params, busy_block))
+    own = busy.withColumnRenamed("shares", "own_shares")
+    previous = busy.select("symbol", (F.col("block") + 1).alias("block"), F.col("shares").alias("previous_shares"))
     block = grid_index(F.col("event_time"), params.horizon)
 
     def shares_of_both(rows: DataFrame, how: str) -> DataFrame:
@@ -111,8 +102,7 @@ def _placed(ticks: DataFrame, params: TickParams, busy_block: int) -> DataFrame:
             previous, ["symbol", "block"], "left"
         )
 
-    # Without a symbol nothing is equal, so nothing is found: such ticks may go anywhere, and answer nobody.
-    dealt = f"CAST(pmod(xxhash64(event_time, price), coalesce(own_shares, {MAX_SHARES})) AS INT)"
+    dealt = "CAST(pmod(xxhash64(event_time, price), own_shares) AS INT)"
     to_previous = f"""
         transform(sequence(0, coalesce(previous_shares, 1) - 1),
                   s -> {_place("block - 1", "s", asks=False, answers=True, home=False)})"""
@@ -120,7 +110,7 @@ def _placed(ticks: DataFrame, params: TickParams, busy_block: int) -> DataFrame:
         transform(sequence(0, own_shares - 1),
                   s -> {_place("block", "s", asks=False, answers=True, home=True)})"""
     places = f"""
-        CASE WHEN own_shares IS NOT NULL OR symbol IS NULL
+        CASE WHEN own_shares IS NOT NULL
              THEN array({_place("block", dealt, asks=True, answers=False, home=True)})
              ELSE concat(array({_place("block", "0", asks=True, answers=True, home=True)}), {to_previous}) END"""
     questions = shares_of_both(ticks.distinct(), "left").selectExpr(
@@ -137,8 +127,12 @@ def _placed(ticks: DataFrame, params: TickParams, busy_block: int) -> DataFrame:
 
 
 def first_higher_lower(ticks: DataFrame, params: TickParams, busy_block: int = BUSY_BLOCK) -> DataFrame:
-    """(symbol, event_time, price, first_higher, first_lower) without forming pairs; see the module text."""
-    placed = _placed(valid_ticks(ticks).select("symbol", "event_time", "price"), params, busy_block)
+    """(symbol, event_time, price, first_higher, first_lower) without forming pairs; see the module text.
+
+    The pre-count of busy blocks runs when this is called, and its table is written to the session's shared folder.
+    """
+    valid = valid_ticks(ticks).select("symbol", "event_time", "price")
+    placed = _placed(valid.filter(F.col("symbol").isNotNull()), params, busy_block)
     unit = ("symbol", "block", "share")
 
     by_time = Window.partitionBy(*unit).orderBy(F.col("home").desc(), "event_time")
@@ -183,7 +177,10 @@ def first_higher_lower(ticks: DataFrame, params: TickParams, busy_block: int = B
         name: F.when(F.col(name) <= latest, F.col(name))
         for name in ("first_higher", "first_lower")
     }
-    return firsts.withColumns(in_reach).drop("block", "share")
+    found = firsts.withColumns(in_reach).drop("block", "share")
+    # Without a symbol nothing is equal, so nothing is found.
+    nothing = {name: F.lit(None).cast("timestamp") for name in in_reach}
+    return found.unionByName(valid.filter(F.col("symbol").isNull()).distinct().withColumns(nothing))
 
 
 def as_windows(firsts: DataFrame, params: TickParams, with_found: bool = False) -> DataFrame:
