@@ -75,3 +75,29 @@ def test_slots_do_not_depend_on_the_session_time_zone(spark, make_ticks):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert row["t"] == (START + timedelta(hours=2)).replace(tzinfo=None)
+
+
+def test_blocks_find_the_next_one_across_groups(spark):
+    rows = spark.range(200_000).select(
+        F.concat(F.lit("S"), F.pmod(F.xxhash64("id"), F.lit(2))).alias("symbol"), (F.col("id") * 7 - 500_000).alias("block")
+    )
+    rows = rows.filter(~F.col("block").between(-90_000, 60_000))
+    found = ops._with_following(rows, 100)
+    by_symbol = {}
+    for r in rows.collect():
+        by_symbol.setdefault(r.symbol, []).append(r.block)
+    expected = {}
+    for symbol, blocks in by_symbol.items():
+        blocks.sort()
+        expected |= {(symbol, a): b for a, b in zip(blocks, blocks[1:] + [None])}
+    assert {(r.symbol, r.block): r.following for r in found.collect()} == expected
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window" in line]
+    assert windows and all("part#" in line for line in windows)
+
+
+def test_carry_forward_with_small_blocks_and_groups(make_ticks):
+    ticks = make_ticks(*[(at / 10, float(at)) for at in (0, 3, 4, 50, 51, 700, 2_000)], (1.0, 9.0, "T"), (30.0, 8.0, "T"))
+    slot = timedelta(milliseconds=100)
+    usual = sorted(map(tuple, ops.locf_resample(ticks, slot).collect()))
+    assert usual == sorted(map(tuple, ops.locf_resample(ticks, slot, 3, 2).collect())) and len(usual) == 2_001 + 291

@@ -48,21 +48,40 @@ def _conflated(ticks: DataFrame, slot: timedelta) -> DataFrame:
     )
 
 
-def locf_resample(ticks: DataFrame, slot: timedelta, block_slots: int = 4096) -> DataFrame:
+def _with_following(blocks: DataFrame, group: int) -> DataFrame:
+    """``blocks`` (symbol, block and others, one row each) with the symbol's next block (``following``, NULL for the last).
+
+    Blocks are ordered inside groups of ``group`` successive ones; the last of a group is followed by the first of the
+    next group that has any. Of a group only its number goes on, so of a symbol with a million blocks a few hundred.
+    """
+    rows = blocks.withColumn("part", floor_div(F.col("block"), group))
+    parts = rows.groupBy("symbol", "part").agg(F.min("block").alias("opening"))
+    listed = parts.groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("part", "opening"))).alias("listed"))
+    nexts = listed.select(
+        "symbol", F.inline(F.arrays_zip(F.col("listed.part").alias("part"), F.expr("slice(listed.opening, 2, 2147483647)").alias("opening")))
+    )
+    inside = F.lead("block").over(Window.partitionBy("symbol", "part").orderBy("block"))
+    return (
+        rows.withColumn("inside", inside)
+        .join(nexts, ["symbol", "part"], "left")
+        .withColumn("following", F.coalesce("inside", "opening"))
+        .drop("part", "inside", "opening")
+    )
+
+
+def locf_resample(ticks: DataFrame, slot: timedelta, block_slots: int = 4096, group_blocks: int = 4096) -> DataFrame:
     """One row per symbol and slot between the symbol's first and last tick, carrying the last price forward.
 
     A symbol's history is cut into blocks of ``block_slots`` slots, so that no task holds more than one block of a
-    symbol however many ticks it has. Only one row per (symbol, block), its last price, is ordered per symbol, to find
-    the price each block starts from; from there every block is filled on its own.
+    symbol however many ticks it has. One row per (symbol, block), its last price, tells the price the next block starts
+    from; these rows are ordered in groups of ``group_blocks``. From there every block is filled on its own.
     """
     latest = _conflated(ticks, slot).filter(F.col("symbol").isNotNull())
     latest = latest.withColumn("block", floor_div(F.col("slot"), block_slots))
 
-    following = F.lead("block").over(Window.partitionBy("symbol").orderBy("block"))
+    last_prices = latest.groupBy("symbol", "block").agg(F.max_by("price", "slot").alias("price"))
     carried = (
-        latest.groupBy("symbol", "block")
-        .agg(F.max_by("price", "slot").alias("price"))
-        .withColumn("following", following)
+        _with_following(last_prices, group_blocks)
         .filter(F.col("following").isNotNull())
         .select("symbol", "price", F.explode(F.sequence(F.col("block") + 1, F.col("following"))).alias("block"))
     )
