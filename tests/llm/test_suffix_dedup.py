@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tickflow.llm.suffix_dedup import LENGTH, drop_repeated_passages, repeated_spans
 
@@ -51,10 +52,21 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("remembered", [200_000, 3])
-def test_equals_brute_force(docs_of, remembered):
+@pytest.mark.parametrize("keys_sent", [200_000, 0])
+def test_equals_brute_force(docs_of, keys_sent):
     rows = corpus()
-    assert rows_of(repeated_spans(docs_of(rows), remembered=remembered)) == brute_force(rows)
+    assert rows_of(repeated_spans(docs_of(rows), keys_sent=keys_sent)) == brute_force(rows)
+
+
+@pytest.mark.parametrize("keys_sent", [200_000, 0])
+def test_a_passage_in_many_surroundings(docs_of, keys_sent):
+    """Half of the documents share a passage between texts of their own, periodic texts meet at all offsets."""
+    dice = random.Random(2)
+    own = lambda n: "".join(dice.choice("abcdefgh ") for _ in range(n))
+    passage = own(70)
+    rows = [(i, own(dice.randrange(30, 90)) + passage * (i % 2) + own(60)) for i in range(300, 0, -1)]
+    rows += [(1_000 + i, "abcab" * dice.randrange(8, 30)) for i in range(30)] + [(2_000, "x" + passage[5:65] + "y")]
+    assert rows_of(repeated_spans(docs_of(rows, 9), keys_sent=keys_sent)) == brute_force(rows)
 
 
 def test_documents_equal_brute_force(docs_of):
@@ -69,4 +81,22 @@ def test_texts_stay_valid_and_columns_stay(docs_of):
     left = drop_repeated_passages(docs)
     assert left.columns == docs.columns
     assert {r.doc_id: r.text for r in left.collect()} == {1: passage + " one", 2: "x", 3: None, 4: "yz"}
-    assert repeated_spans(docs_of([])).count() == 0
+    assert repeated_spans(docs_of([])).count() == 0 and drop_repeated_passages(docs_of([])).count() == 0
+
+
+def test_rows_of_one_id_lose_their_own_passages_and_names_may_clash(docs_of):
+    passage = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, passage), (5, "zz " + passage + " end"), (5, "zz yy xx w " * 20), (5, "zz yy xx w " * 20), (None, passage)]
+    docs = docs_of(rows).withColumns({"spans": F.lit(1), "spans_id": F.lit(2), "Spans_Text": F.lit(3), "text_id": F.lit(4)})
+    left = drop_repeated_passages(docs)
+    assert left.columns == docs.columns
+    expected = [(1, passage), (5, "zz  end"), (5, "zz yy xx w " * 20), (5, "zz yy xx w " * 20), (None, passage)]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_one_very_long_text(docs_of):
+    dice = random.Random(9)
+    long = "".join(dice.choice("abcdefghij ") for _ in range(1_000_000))
+    rows = [(1, long[5_000:6_000]), (2, long), (3, "a" * 400_000), (4, "b" + "a" * 1_000)]
+    found = {r.doc_id: (r.n_removed, r.n_spans) for r in repeated_spans(docs_of(rows)).collect()}
+    assert found == {1: (0, 0), 2: (1_000, 1), 3: (0, 0), 4: (1_000, 1)}

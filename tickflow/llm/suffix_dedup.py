@@ -1,17 +1,21 @@
 """Repeated passages: strings of a given length that also start in an earlier document, removed byte by byte.
 
-Suffixes are sampled by a difference cover, named and grouped by their samples, and the remaining suffixes are merged in
-by their offset to the next sample; neighbours are compared over the given length only.
-
-A cover by residues, as for suffix arrays of one text, samples two of three positions, and each round sorts as many rows.
-This one is chosen by content and samples about one position in 18: in each window of ``length`` bytes, the 16 bytes of
-the smallest hash. It has the property the method needs: two equal strings of that length have a sample at the same
-offset. A sample with the windows around it is a tuple as long as the prefix to compare, so names need no recursion.
+Not by the sort that a difference cover of residues asks for, see the README: here the cover is chosen by content. In
+each window of ``length`` bytes the 16 bytes of the smallest hash are its sample, about one position in 18, so equal
+windows have their sample at the same offset. A sample stands for a stretch of successive windows; the bytes of all of
+them are its context.
+
+1. Samples are combined by key, and those that one text alone holds go: their windows are in no other text.
+2. Equal contexts are one, with the smallest document that holds it: in all later ones the whole context is repeated.
+3. Windows of different contexts of one key are combined by their bytes: in its first document a context loses the
+   windows that a still earlier document holds in another context.
+
+All three are aggregations that Spark combines before the shuffle and joins that it can split, so that a passage which a
+third of all documents share is never in one task's hands.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -21,15 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from tickflow.llm.common import named, stored, texts
+from tickflow.llm.common import fresh, named, stored, texts
 
 LENGTH = 50
 GRAM = 16
 SPANS = "spans array<struct<start:int,stop:int>>"
-#: Windows of one sample that a task remembers; what lies beyond goes through a shuffle by the window itself.
-REMEMBERED = 200_000
+#: Up to so many shared keys (8 bytes each) are sent to all tasks; more are joined.
+KEYS_SENT = 2_000_000
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -65,6 +68,8 @@ def samples(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
 
 
 def _keys(length: int):
+    """Samples of texts: key, doc_id, text_id, at."""
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, len(batch), 500):
@@ -75,26 +80,37 @@ def _keys(length: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(columns[0].view(np.int64)),
-                        some.column("doc_id").take(pa.array(owner)),
+                        *(some.column(name).take(pa.array(owner)) for name in ("doc_id", "text_id")),
                         pa.array(columns[1].astype(np.int32)),
                     ],
-                    ["key", "doc_id", "at"],
+                    ["key", "doc_id", "text_id", "at"],
                 )
 
     return each
 
 
-def _contexts(length: int):
+def _contexts(length: int, wanted):
+    """Contexts of the samples with a wanted key, or at wanted positions if the rows say which (``positions``)."""
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys_wanted = None if wanted is None else wanted.value
         for batch in batches:
             for low in range(0, len(batch), 200):
                 some = batch.slice(low, 200)
                 owner, keys, starts, contexts = [], [], [], []
-                for n, (text, at) in enumerate(zip(some.column("text"), some.column("positions"))):
-                    text = text.as_py()
+                for n in range(len(some)):
+                    text = some.column("text")[n].as_py()
                     key, positions, firsts = samples(text, length)
                     lasts = np.append(firsts[1:], len(text) - length + 1) - 1
-                    for i in np.flatnonzero(np.isin(positions, at.values.to_numpy())).tolist():
+                    if keys_wanted is None:
+                        chosen = np.isin(positions, some.column("positions")[n].values.to_numpy())
+                    elif len(keys_wanted):
+                        signed = key.view(np.int64)
+                        place = np.minimum(np.searchsorted(keys_wanted, signed), len(keys_wanted) - 1)
+                        chosen = keys_wanted[place] == signed
+                    else:
+                        continue
+                    for i in np.flatnonzero(chosen).tolist():
                         owner.append(n)
                         keys.append(key[i])
                         starts.append(firsts[i])
@@ -112,53 +128,67 @@ def _contexts(length: int):
     return each
 
 
-def _merge(length: int, remembered: int):
-    """Rows sorted by key and document: the windows of a context that an earlier document has, in runs (start, stop).
-
-    Once a key has more windows than a task remembers, further new ones are handed on with their bytes.
-    """
+def shared_contexts(rows: DataFrame, length: int, keys_sent: int) -> DataFrame:
+    """key, doc_id, text_id, start, context of ``rows`` (doc_id, text_id, text) for the keys of several texts."""
+    spark = rows.sparkSession
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    rows = rows.select("doc_id", "text_id", "text")
+    found = rows.mapInArrow(_keys(length), f"key long, doc_id {kind}, text_id long, at int")
+    held = found.groupBy("key").agg(F.min("text_id").alias("low"), F.max("text_id").alias("high"))
+    shared = stored(held.filter("low < high").select("key"))
+    schema = f"key long, doc_id {kind}, text_id long, start int, context binary"
+    if shared.count() <= keys_sent:
+        keys = np.sort(np.array([key for (key,) in shared.collect()], np.int64))
+        wanted = spark.sparkContext.broadcast(keys)
+        return rows.mapInArrow(_contexts(length, wanted), schema)
+    positions = found.join(shared, "key").groupBy("doc_id").agg(F.collect_list("at").alias("positions"))
+    with_positions = rows.join(positions, "doc_id").select("doc_id", "text_id", "text", "positions")
+    return with_positions.mapInArrow(_contexts(length, None), schema)
+
+
+def _windows(length: int):
+    """The windows of contexts: window, first and where it is (context_id, n)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, first_of, whole = None, {}, {}
         for batch in batches:
-            out = []
-            columns = (batch.column(name).to_pylist() for name in ("key", "doc_id", "text_id", "start", "context"))
-            for row_key, doc_id, text_id, start, context in zip(*columns):
-                if row_key != key:
-                    key, first_of, whole = row_key, {}, {}
-                count = len(context) - length + 1
-                known = whole.get(context)
-                if known is not None and known < doc_id:
-                    out.append((doc_id, text_id, start, start + count - 1 + length, None))
-                    continue
-                if len(whole) < remembered:
-                    whole.setdefault(context, doc_id)
-                run, full = None, len(first_of) >= remembered
-                for n in range(count):
-                    window = context[n : n + length]
-                    first = first_of.get(window)
-                    if first is None:
-                        if full:
-                            out.append((doc_id, text_id, start + n, start + n + length, window))
-                            whole.pop(context, None)
-                        else:
-                            first_of[window] = doc_id
-                    if first is not None and first < doc_id:
-                        if run is None:
-                            run = n
-                    elif run is not None:
-                        out.append((doc_id, text_id, start + run, start + n - 1 + length, None))
-                        run = None
-                if run is not None:
-                    out.append((doc_id, text_id, start + run, start + count - 1 + length, None))
-            types = (batch.schema.field("doc_id").type, pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            arrays = [pa.array(column, kind) for column, kind in zip(zip(*out), types)]
-            if out:
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_id", "start", "stop", "window"])
+            for low in range(0, len(batch), 2_000):
+                some = batch.slice(low, 2_000)
+                owner, places, windows = [], [], []
+                for n, context in enumerate(some.column("context").to_pylist()):
+                    count = len(context) - length + 1
+                    owner += [n] * count
+                    places += range(count)
+                    windows += [context[at : at + length] for at in range(count)]
+                ids, firsts = (some.column(name).take(pa.array(owner, pa.int64())) for name in ("context_id", "first"))
+                columns = [pa.array(windows, pa.binary()), firsts, ids, pa.array(places, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, ["window", "first", "context_id", "n"])
 
     return each
 
 
+def repeated_stretches(contexts: DataFrame, length: int) -> DataFrame:
+    """doc_id, text_id, start, stop of what is repeated in ``contexts``, as they overlap."""
+    kind = contexts.schema["doc_id"].dataType.simpleString()
+    once = contexts.groupBy("key", "context").agg(F.min("doc_id").alias("first"))
+    once = stored(once.withColumn("context_id", F.monotonically_increasing_id()))
+    span = ["doc_id", "text_id", "start", "stop"]
+    placed = contexts.join(once, ["key", "context"])
+    stop = (F.col("start") + F.length("context")).alias("stop")
+    later = placed.filter("first < doc_id").select("doc_id", "text_id", "start", stop)
+
+    several = once.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("least")).filter("n > 1")
+    # A context that no earlier document can share a window with is only there for others to find.
+    windows = once.join(several.select("key"), "key", "left_semi").select("context", "first", "context_id")
+    windows = windows.mapInArrow(_windows(length), f"window binary, first {kind}, context_id long, n int")
+    least = windows.groupBy("window").agg(F.min("first").alias("least"), F.max("first").alias("most"))
+    least = least.filter("least < most").select("window", "least")
+    earlier = windows.join(least, "window").filter("least < first").select("context_id", "n")
+    owners = placed.filter("first = doc_id").select("context_id", "doc_id", "text_id", "start")
+    begin = F.col("start") + F.col("n")
+    own = owners.join(earlier, "context_id").select("doc_id", "text_id", begin.alias("start"), (begin + length).alias("stop"))
+    return later.unionByName(own).select(span)
+
+
 def _merged(spans: list) -> list[tuple[int, int]]:
     runs: list[tuple[int, int]] = []
     for start, stop in sorted((s["start"], s["stop"]) for s in spans):
@@ -194,66 +224,53 @@ def repeated_spans(
     id_col: str = "doc_id",
     text_col: str = "text",
     length: int = LENGTH,
-    remembered: int = REMEMBERED,
+    keys_sent: int = KEYS_SENT,
 ) -> DataFrame:
     """Each document with what is removed: doc_id, n_bytes, n_removed, n_spans, spans (start, stop), kept_sha256.
 
-    A byte is removed if a string of ``length`` bytes over it also starts in a document of a smaller id. Equal texts
-    are one from the start: the copies after the first are removed whole and take no further part.
+    A byte is removed if a string of ``length`` bytes over it also starts in a document of a smaller id. Of equal texts
+    all after the first are removed whole; that they share their samples with each other alone makes none a candidate.
 
     NULL texts count as empty. Ids order the documents; a document of NULL id is left as it is and is no earlier
     document for others. Rows of one id are one document as far as others look at it: none is earlier than another.
     Repeated rows come out as they come in. An empty table gives no rows.
     """
-    spark = docs.sparkSession
+    rows, spans = _rows_and_spans(docs, id_col, text_col, length, keys_sent)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, {SPANS}, kept_sha256 string"
+    return rows.join(spans, ["doc_id", "text_id"], "left").select("doc_id", "text", "spans").mapInArrow(_kept, schema)
+
+
+def _rows_and_spans(
+    docs: DataFrame, id_col: str, text_col: str, length: int, keys_sent: int = KEYS_SENT
+) -> tuple[DataFrame, DataFrame]:
+    """Documents as doc_id, text_id, text (bytes); and by doc_id and text_id the spans to remove, as they overlap."""
     rows = texts(docs, id_col, text_col).withColumn("text_id", F.xxhash64("text"))
     rows = rows.withColumn("text", F.col("text").cast("binary"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
     known = rows.filter("doc_id IS NOT NULL")
     sizes = known.select("doc_id", "text_id", F.unhex(F.sha2("text", 256)).alias("digest"), F.length("text").alias("size"))
     sizes = sizes.filter(F.col("size") >= length)
     firsts = stored(sizes.groupBy("digest").agg(F.min("doc_id").alias("first")))
-    copies = sizes.join(firsts, "digest").filter("first < doc_id")
-    copies = copies.select("doc_id", "text_id", F.lit(0).alias("start"), F.col("size").alias("stop")).distinct()
-
-    first_texts = known.join(firsts.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
-    found = first_texts.select("doc_id", "text").mapInArrow(_keys(length), f"key long, doc_id {kind}, at int")
-    same = Window.partitionBy("key")
-    found = found.withColumns({"low": F.min("doc_id").over(same), "high": F.max("doc_id").over(same)})
-    positions = stored(found.filter("low < high").groupBy("doc_id").agg(F.collect_list("at").alias("positions")))
-    _let_go(spark)
-
-    contexts = known.join(positions, "doc_id").select("doc_id", "text_id", "text", "positions")
-    contexts = contexts.mapInArrow(
-        _contexts(length), f"key long, doc_id {kind}, text_id long, start int, context binary"
-    )
-    contexts = contexts.repartition("key").sortWithinPartitions("key", "doc_id")
-    runs = contexts.mapInArrow(
-        _merge(length, remembered), f"doc_id {kind}, text_id long, start int, stop int, window binary"
-    )
-    runs = stored(runs)
-    _let_go(spark)
-
-    span = ["doc_id", "text_id", "start", "stop"]
-    spans = runs.filter("window IS NULL").select(span).unionByName(copies)
-    beyond = runs.filter("window IS NOT NULL")
-    if not beyond.isEmpty():
-        first = beyond.groupBy("window").agg(F.min("doc_id").alias("first"))
-        spans = spans.unionByName(beyond.join(first, "window").filter("first < doc_id").select(span))
-    spans = spans.groupBy("doc_id", "text_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, {SPANS}, kept_sha256 string"
-    return rows.join(spans, ["doc_id", "text_id"], "left").select("doc_id", "text", "spans").mapInArrow(_kept, schema)
+    copies = sizes.join(firsts, "digest").filter("first < doc_id").distinct()
+    whole = copies.select("doc_id", "text_id", F.lit(0).alias("start"), F.col("size").alias("stop"))
+    contexts = stored(shared_contexts(known, length, keys_sent))
+    spans = repeated_stretches(contexts, length).unionByName(whole)
+    spans = stored(spans.groupBy("doc_id", "text_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans")))
+    return rows, spans
 
 
 def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """The documents without repeated passages, with all their columns; ``n_chars``, if there, counts anew.
 
-    A character goes if all its bytes do, so texts stay valid; a document may be left empty.
+    A character goes if all its bytes do, so texts stay valid; a document may be left empty. Rows of one id and different
+    texts each lose their own passages.
     """
-    spans = repeated_spans(docs, id_col, text_col, length).filter("n_removed > 0")
-    spans = spans.select(F.col("doc_id").alias("spans_id"), "spans").dropDuplicates(["spans_id"])
-    joined = docs.join(spans, named(id_col) == F.col("spans_id"), "left")
-    left = F.when(F.col("spans").isNull(), named(text_col)).otherwise(_without_spans(named(text_col), F.col("spans")))
+    spans_id, spans_text, runs = fresh(docs, "spans_id", "spans_text", "spans")
+    spans = _rows_and_spans(docs, id_col, text_col, length)[1]
+    spans = spans.select(F.col("doc_id").alias(spans_id), F.col("text_id").alias(spans_text), F.col("spans").alias(runs))
+    text = F.coalesce(named(text_col), F.lit(""))
+    joined = docs.join(spans, (named(id_col) == F.col(spans_id)) & (F.xxhash64(text) == F.col(spans_text)), "left")
+    left = F.when(F.col(runs).isNull(), named(text_col)).otherwise(_without_spans(named(text_col), F.col(runs)))
     counted = {"n_chars": F.length(F.coalesce(left, F.lit(""))).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
     return joined.withColumns({text_col: left, **counted}).select([named(c) for c in docs.columns])
 
@@ -262,8 +279,7 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
 def _without_spans(text: pd.Series, spans: pd.Series) -> pd.Series:
     def cut(one: str, runs) -> str:
         raw, at, parts = one.encode(), 0, []
-        for run in runs:
-            start, stop = run["start"], run["stop"]
+        for start, stop in _merged(runs):
             while start < stop and raw[start] & 0xC0 == 0x80:  # begins inside a character: that one stays
                 start += 1
             while stop > start and stop < len(raw) and raw[stop] & 0xC0 == 0x80:  # ends inside one: it stays, too
@@ -273,9 +289,3 @@ def _without_spans(text: pd.Series, spans: pd.Series) -> pd.Series:
         return b"".join([*parts, raw[at:]]).decode("utf-8", "replace")
 
     return pd.Series([one if runs is None else cut(one or "", runs) for one, runs in zip(text, spans)], dtype=object)
-
-
-def _let_go(spark) -> None:
-    """Shuffle files of finished steps are removed once the driver has collected what refers to them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
