@@ -25,14 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tickflow.llm.common import fresh, named, stored, texts
 
 LENGTH = 50
 GRAM = 16
 SPANS = "spans array<struct<start:int,stop:int>>"
-#: Up to so many shared keys (8 bytes each) are sent to all tasks; more are joined.
-KEYS_SENT = 2_000_000
+#: Up to so many shared keys, copies or spans (tens of bytes each) are sent to all tasks; more are joined by a shuffle.
+ROWS_SENT = 2_000_000
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -128,7 +129,7 @@ def _contexts(length: int, wanted):
     return each
 
 
-def shared_contexts(rows: DataFrame, length: int, keys_sent: int) -> DataFrame:
+def shared_contexts(rows: DataFrame, length: int, rows_sent: int) -> DataFrame:
     """key, doc_id, text_id, start, context of ``rows`` (doc_id, text_id, text) for the keys of several texts."""
     spark = rows.sparkSession
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -137,7 +138,7 @@ def shared_contexts(rows: DataFrame, length: int, keys_sent: int) -> DataFrame:
     held = found.groupBy("key").agg(F.min("text_id").alias("low"), F.max("text_id").alias("high"))
     shared = stored(held.filter("low < high").select("key"))
     schema = f"key long, doc_id {kind}, text_id long, start int, context binary"
-    if shared.count() <= keys_sent:
+    if shared.count() <= rows_sent:
         keys = np.sort(np.array([key for (key,) in shared.collect()], np.int64))
         wanted = spark.sparkContext.broadcast(keys)
         return rows.mapInArrow(_contexts(length, wanted), schema)
@@ -189,21 +190,23 @@ def repeated_stretches(contexts: DataFrame, length: int) -> DataFrame:
     return later.unionByName(own).select(span)
 
 
-def _merged(spans: list) -> list[tuple[int, int]]:
-    runs: list[tuple[int, int]] = []
-    for start, stop in sorted((s["start"], s["stop"]) for s in spans):
-        if runs and start <= runs[-1][1]:
-            runs[-1] = (runs[-1][0], max(stop, runs[-1][1]))
-        else:
-            runs.append((start, stop))
-    return runs
+def _merged(spans: DataFrame) -> DataFrame:
+    """doc_id, text_id, spans: overlapping and touching spans (start, stop) as one, in order."""
+    in_order = Window.partitionBy("doc_id", "text_id").orderBy("start", "stop")
+    reached = F.max("stop").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("start") > reached, F.lit(True)).cast("int")
+    rows = spans.withColumn("opens", opens).withColumn("run", F.sum("opens").over(in_order))
+    runs = rows.groupBy("doc_id", "text_id", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    listed = F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans")
+    return runs.groupBy("doc_id", "text_id").agg(listed)
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for text, spans in zip(batch.column("text"), batch.column("spans")):
-            text, runs = text.as_py(), _merged(spans.as_py() or [])
+            text = text.as_py()
+            runs = [(span["start"], span["stop"]) for span in spans.as_py() or []]
             at, parts = 0, []
             for start, stop in runs:
                 parts.append(text[at:start])
@@ -224,39 +227,42 @@ def repeated_spans(
     id_col: str = "doc_id",
     text_col: str = "text",
     length: int = LENGTH,
-    keys_sent: int = KEYS_SENT,
+    rows_sent: int = ROWS_SENT,
 ) -> DataFrame:
     """Each document with what is removed: doc_id, n_bytes, n_removed, n_spans, spans (start, stop), kept_sha256.
 
-    A byte is removed if a string of ``length`` bytes over it also starts in a document of a smaller id. Of equal texts
-    all after the first are removed whole; that they share their samples with each other alone makes none a candidate.
+    A byte is removed if a string of ``length`` bytes over it also starts in a document of a smaller id. Equal texts
+    are one from the start: the copies after the first are removed whole and take no further part.
 
     NULL texts count as empty. Ids order the documents; a document of NULL id is left as it is and is no earlier
     document for others. Rows of one id are one document as far as others look at it: none is earlier than another.
     Repeated rows come out as they come in. An empty table gives no rows.
     """
-    rows, spans = _rows_and_spans(docs, id_col, text_col, length, keys_sent)
+    rows, spans = _rows_and_spans(docs, id_col, text_col, length, rows_sent)
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, {SPANS}, kept_sha256 string"
     return rows.join(spans, ["doc_id", "text_id"], "left").select("doc_id", "text", "spans").mapInArrow(_kept, schema)
 
 
 def _rows_and_spans(
-    docs: DataFrame, id_col: str, text_col: str, length: int, keys_sent: int = KEYS_SENT
+    docs: DataFrame, id_col: str, text_col: str, length: int, rows_sent: int = ROWS_SENT
 ) -> tuple[DataFrame, DataFrame]:
-    """Documents as doc_id, text_id, text (bytes); and by doc_id and text_id the spans to remove, as they overlap."""
+    """Documents as doc_id, text_id, text (bytes); and by doc_id and text_id the spans to remove."""
     rows = texts(docs, id_col, text_col).withColumn("text_id", F.xxhash64("text"))
     rows = rows.withColumn("text", F.col("text").cast("binary"))
     known = rows.filter("doc_id IS NOT NULL")
     sizes = known.select("doc_id", "text_id", F.unhex(F.sha2("text", 256)).alias("digest"), F.length("text").alias("size"))
     sizes = sizes.filter(F.col("size") >= length)
     firsts = stored(sizes.groupBy("digest").agg(F.min("doc_id").alias("first")))
-    copies = sizes.join(firsts, "digest").filter("first < doc_id").distinct()
+    copies = stored(sizes.join(firsts, "digest").filter("first < doc_id").select("doc_id", "text_id", "size").distinct())
     whole = copies.select("doc_id", "text_id", F.lit(0).alias("start"), F.col("size").alias("stop"))
-    contexts = stored(shared_contexts(known, length, keys_sent))
+    sent = F.broadcast(copies) if copies.count() <= rows_sent else copies
+    first_texts = known.join(sent, ["doc_id", "text_id"], "left_anti")
+    contexts = stored(shared_contexts(first_texts, length, rows_sent))
     spans = repeated_stretches(contexts, length).unionByName(whole)
-    spans = stored(spans.groupBy("doc_id", "text_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans")))
-    return rows, spans
+    spans = stored(_merged(spans))
+    few = (spans.agg(F.sum(F.size("spans"))).first()[0] or 0) <= rows_sent
+    return rows, F.broadcast(spans) if few else spans
 
 
 def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -279,7 +285,8 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
 def _without_spans(text: pd.Series, spans: pd.Series) -> pd.Series:
     def cut(one: str, runs) -> str:
         raw, at, parts = one.encode(), 0, []
-        for start, stop in _merged(runs):
+        for run in runs:
+            start, stop = run["start"], run["stop"]
             while start < stop and raw[start] & 0xC0 == 0x80:  # begins inside a character: that one stays
                 start += 1
             while stop > start and stop < len(raw) and raw[stop] & 0xC0 == 0x80:  # ends inside one: it stays, too
