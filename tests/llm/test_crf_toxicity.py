@@ -50,3 +50,14 @@ def test_spans_nulls_and_empty_tables(spark, small, docs_of):
     labels = spark.createDataFrame([(1, None), (9, 1)], "doc_id long, toxic int")
     assert all(r.predicted == 0 for r in toxicity(docs, labels).collect())
     assert toxicity(docs_of([]), labels).count() == 0
+
+
+def test_length_and_unseen_words_say_nothing(spark, small, docs_of):
+    model = fit(small)
+    dice = np.random.default_rng(3)
+    unseen = lambda n: " ".join(f"{chr(97 + k % 26)}x{k}" for k in dice.integers(0, 10**6, n))
+    rows = [(1, unseen(300)), (2, unseen(50_000)), (3, "quite ordinary words stand here and there " * 8_000)]
+    rows += [(4, unseen(20_000) + " ugly1 Uglyness " + unseen(20_000)), (4, rows[0][1]), (5, rows[0][1]), (5, rows[0][1])]
+    found = sorted((r.doc_id, r.predicted, len(r.spans), round(r.score, 6)) for r in score(docs_of(rows), model).collect())
+    assert [f[:3] for f in found] == [(1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 0, 0), (4, 1, 2), (5, 0, 0), (5, 0, 0)]
+    assert found[0][3] == found[1][3] == found[2][3] < 0.2

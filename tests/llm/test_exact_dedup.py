@@ -51,3 +51,21 @@ def test_empty_table_and_other_names(docs_of):
     assert exact_groups(docs_of([])).count() == 0
     named = docs_of([(1, "a"), (2, "a")]).withColumnsRenamed({"doc_id": "n.o", "text": "body"})
     assert drop_exact_copies(named, "n.o", "body").count() == 1
+
+
+def test_stages_keep_columns_whatever_their_names(docs_of):
+    from pyspark.sql import functions as F
+
+    from tickflow.llm.exact_dedup import drop_exact_copies
+    from tickflow.llm.simhash_golay import drop_near_copies
+
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = docs_of([(1, text), (2, text), (3, text + " more"), (1, text), (None, None), (7, "")])
+    docs = docs.withColumns({"dedup_id": F.lit(5), "Dedup_Text": F.lit(6), "kept_id": F.lit(7)})
+    for stage, left in ((drop_exact_copies, [1, 3, 7]), (drop_near_copies, None)):
+        found = stage(docs)
+        assert found.columns == docs.columns
+        rows = found.collect()
+        assert all((r.dedup_id, r.Dedup_Text, r.kept_id) == (5, 6, 7) for r in rows)
+        assert left is None or sorted(r.doc_id for r in rows) == left
+        assert stage(docs_of([]).withColumns({"dedup_id": F.lit(5), "kept_id": F.lit(7)})).count() == 0

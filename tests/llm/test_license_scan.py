@@ -1,3 +1,5 @@
+import time
+
 from tickflow.llm.license_scan import TEMPLATES, Index, license_matches
 
 
@@ -19,3 +21,10 @@ def test_hard_rows(docs_of):
     rows = license_matches(docs).collect()
     assert sorted(str(r.doc_id) for r in rows) == ["1", "1", "4", "None", "None"]
     assert license_matches(docs.limit(0)).count() == 0 and license_matches(docs, {}).count() == 0
+
+
+def test_long_rule_lines_take_linear_time(docs_of):
+    start = time.perf_counter()
+    rows = [(1, "a" + "-" * 300_000 + " Released under the MIT License. " + "." * 300_000), (2, "-+. " * 100_000)]
+    found = license_matches(docs_of(rows)).collect()
+    assert [(r.doc_id, r.license) for r in found] == [(1, "MIT")] and time.perf_counter() - start < 20

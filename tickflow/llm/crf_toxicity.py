@@ -27,6 +27,10 @@ ROUNDS = 60
 BLOCK = 4_096
 REMEMBERED = 400_000
 LIMIT = 30.0
+#: An unseen word makes a toxic stretch that goes on through it less likely by at least this much (as a logarithm), and
+#: words of a smaller probability than the second number say nothing about their document.
+UNSEEN_COST = 2.0
+LEAST_PROBABILITY = 0.1
 
 
 def word_features(word: str) -> list[str]:
@@ -101,13 +105,19 @@ class Field:
 
     def score(self, marginals: np.ndarray) -> float:
         """Probability that the document is toxic, from the number of toxic words expected and the surest one."""
-        if not len(marginals):
-            marginals = np.zeros(1)
         expected, surest, base = self.document
-        x = expected * np.log(marginals.sum() + 1e-3) + surest * float(marginals.max()) + base
+        signs = document_signs(marginals)
+        x = expected * signs[0] + surest * signs[1] + base
         return float(1 / (1 + np.exp(-np.clip(x, -LIMIT, LIMIT))))
 
 
+def document_signs(marginals: np.ndarray) -> tuple[float, float]:
+    """Logarithm of the number of toxic words expected, and the highest probability of a word. Improbable words count
+    nothing, so a text does not become suspicious by its length."""
+    told = marginals[marginals >= LEAST_PROBABILITY]
+    return float(np.log(told.sum() + 1e-3)), float(told.max()) if len(told) else 0.0
+
+
 def telling(sample: list[tuple[list[str], int]]) -> set[str]:
     """Features that explain toxic documents and are hardly ever in others: they label the words of toxic documents.
 
@@ -222,6 +232,8 @@ def _ascend(model: Field, pieces: list[tuple[list[str], np.ndarray]], rounds: in
         gradient -= 0.05 * weights
         seen += gradient**2
         weights += 0.5 * gradient / np.sqrt(seen)
+        # A word without features has the bias alone. However few words the sample holds, it must not pass the state on.
+        weights[-1] = min(weights[-1], weights[-4] - weights[len(used)] - UNSEEN_COST)
     model.weights[used] = weights[: len(used)]
     model.bias = float(weights[len(used)])
     model.moves = weights[-4:].reshape(2, 2)
@@ -232,7 +244,7 @@ def _calibrate(model: Field, tokens: list[tuple[list[str], int]]) -> None:
     found = []
     for low in range(0, len(tokens), 100):
         marginals = model.marginals([model.evidence(words) for words, _ in tokens[low : low + 100]])
-        found += [(np.log(m.sum() + 1e-3), m.max()) if len(m) else (np.log(1e-3), 0.0) for m in marginals]
+        found += [document_signs(m) for m in marginals]
     x = np.array(found).reshape(-1, 2)
     y = np.array([label for _, label in tokens], float)
     if not len(y) or y.min() == y.max():

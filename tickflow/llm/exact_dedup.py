@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import SPACES, named, stored, texts
+from tickflow.llm.common import SPACES, fresh, named, stored, texts
 
 
 def one_spaced(text: Column) -> Column:
@@ -68,10 +68,10 @@ def drop_exact_copies(
 ) -> DataFrame:
     """The documents that stay, with all their columns. Of rows that repeat both id and text one stays."""
     keep = exact_groups(docs, id_col, text_col, normalise).filter("kept")
-    keep = keep.select(_id_key(F.col("doc_id")).alias("dedup_id"), F.col("text_sha256").alias("dedup_text"))
+    keys = fresh(docs, "dedup_id", "dedup_text")
+    keep = keep.select(_id_key(F.col("doc_id")).alias(keys[0]), F.col("text_sha256").alias(keys[1]))
     text = normalise(F.coalesce(named(text_col), F.lit("")))
-    keyed = docs.withColumns({"dedup_id": _id_key(named(id_col)), "dedup_text": F.sha2(text, 256)})
-    keys = ["dedup_id", "dedup_text"]
+    keyed = docs.withColumns({keys[0]: _id_key(named(id_col)), keys[1]: F.sha2(text, 256)})
     return keyed.join(keep, keys, "left_semi").dropDuplicates(keys).drop(*keys)
 
 

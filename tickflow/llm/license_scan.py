@@ -17,7 +17,7 @@ GRAM_WORDS = 3
 WINDOW = 2
 BAND = 8
 MIN_COVERAGE = 0.8
-TOKEN = re.compile(r"[\w.+-]*\w")
+TOKEN = re.compile(r"\w+(?:[.+-]+\w+)*")
 
 #: Public notices.
 TEMPLATES = {

@@ -208,7 +208,7 @@ ORACLES = {
         WITH t AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
         )
-        SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size,
+        SELECT DISTINCT doc_id, min(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size,
                doc_id = min(doc_id) OVER (PARTITION BY text) AS kept, sha256(text) AS text_sha256
         FROM t
     """,

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.llm.common import named, stored, texts
+from tickflow.llm.common import fresh, named, stored, texts
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -229,5 +229,6 @@ def simhash_groups(
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group stays, that of the smallest id, with all its columns; of NULL ids alone, all stay."""
     groups = simhash_groups(docs, id_col, text_col)
-    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id"))
-    return docs.join(keep, named(id_col).eqNullSafe(F.col("kept_id")), "left_semi")
+    (kept_id,) = fresh(docs, "kept_id")
+    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(kept_id))
+    return docs.join(keep, named(id_col).eqNullSafe(F.col(kept_id)), "left_semi")
