@@ -9,6 +9,8 @@ from tickflow.llm.common import named
 from tickflow.llm.html_layout import rendered
 
 END = "\r\n"
+#: Time of the records unless the caller says another.
+DATE = "1970-01-01T00:00:00Z"
 
 
 def record_id(*parts: Column) -> Column:
@@ -23,8 +25,10 @@ def digest(block: Column) -> Column:
 
 
 def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Pages as responses: page_id, response_id, target_uri, http_headers, payload."""
-    page, url = named(id_col).alias("page_id"), F.coalesce(named(url_col), F.lit("")).alias("target_uri")
+    """Pages as responses: page_id, response_id, target_uri, http_headers, payload. Control characters, which would end
+    a header line, are left out of the address."""
+    url = F.regexp_replace(F.coalesce(named(url_col), F.lit("")), r"[\x00-\x1F\x7F]", "").alias("target_uri")
+    page = named(id_col).alias("page_id")
     payload = F.coalesce(named(html_col), F.lit("")).alias("payload")
     rows = pages.select(page, url, payload)
     headers = F.concat(
@@ -36,18 +40,18 @@ def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     return rows.withColumn("http_headers", headers)
 
 
-def derivatives(found: DataFrame) -> DataFrame:
+def derivatives(found: DataFrame, date: str = DATE) -> DataFrame:
     """Two records per response: page_id, record_type, record_id, refers_to, target_uri, content_type, block,
     block_digest, payload_digest (of the source) and record (headers, block and end, as written to a file).
 
     The metadata record holds the source's HTTP headers and digest and names the conversion; the conversion holds the
-    visible text. Both refer to the response. An empty response gives an empty conversion; equal responses give equal
-    records. An empty table gives no rows.
+    visible text. Both refer to the response. ``date`` is given, not taken from the clock, so that a repeated task writes
+    the same records. An empty response gives an empty conversion; equal responses are one response, whose records come
+    out as often as it does. An empty table gives no rows.
     """
     carried = F.struct("page_id", "response_id", "target_uri", "http_headers")
-    kind = found.select(carried.alias("c")).schema["c"].dataType
-    packed = found.select(F.to_json(carried).alias("page_id"), F.col("payload").alias("html"))
-    rows = rendered(packed).select(F.from_json("page_id", kind).alias("c"), "html", "text").select("c.*", "html", "text")
+    packed = found.select(carried.alias("page_id"), F.col("payload").alias("html"))
+    rows = rendered(packed).select("page_id.*", "html", "text")
     rows = rows.withColumns(
         {
             "payload_digest": digest(F.col("html")),
@@ -79,6 +83,7 @@ def derivatives(found: DataFrame) -> DataFrame:
     lines = [("WARC-Type", "record_type"), ("WARC-Record-ID", "record_id"), ("WARC-Refers-To", "refers_to"),
              ("WARC-Target-URI", "target_uri"), ("WARC-Block-Digest", "block_digest"),
              ("WARC-Source-Payload-Digest", "payload_digest"), ("Content-Type", "content_type")]
-    head = [F.concat(F.lit(f"{name}: "), F.col(column), F.lit(END)) for name, column in lines]
+    head = [F.lit(f"WARC-Date: {date}{END}")]
+    head += [F.concat(F.lit(f"{name}: "), F.col(column), F.lit(END)) for name, column in lines]
     size = F.concat(F.lit("Content-Length: "), F.octet_length("block").cast("string"), F.lit(END + END))
     return rows.withColumn("record", F.concat(F.lit(f"WARC/1.1{END}"), *head, size, F.col("block"), F.lit(END + END)))
