@@ -52,21 +52,26 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("rows_sent", [200_000, 0])
-def test_equals_brute_force(docs_of, rows_sent):
+LIMITS = [(200_000, 10_000), (0, 10_000), (200_000, 0), (0, 3)]
+
+
+@pytest.mark.parametrize("limits", LIMITS)
+def test_equals_brute_force(docs_of, limits):
     rows = corpus()
-    assert rows_of(repeated_spans(docs_of(rows), rows_sent=rows_sent)) == brute_force(rows)
+    found = repeated_spans(docs_of(rows), rows_sent=limits[0], together=limits[1])
+    assert rows_of(found) == brute_force(rows)
 
 
-@pytest.mark.parametrize("rows_sent", [200_000, 0])
-def test_a_passage_in_many_surroundings(docs_of, rows_sent):
+@pytest.mark.parametrize("limits", LIMITS[1:3])
+def test_a_passage_in_many_surroundings(docs_of, limits):
     """Half of the documents share a passage between texts of their own, periodic texts meet at all offsets."""
     dice = random.Random(2)
     own = lambda n: "".join(dice.choice("abcdefgh ") for _ in range(n))
     passage = own(70)
     rows = [(i, own(dice.randrange(30, 90)) + passage * (i % 2) + own(60)) for i in range(300, 0, -1)]
     rows += [(1_000 + i, "abcab" * dice.randrange(8, 30)) for i in range(30)] + [(2_000, "x" + passage[5:65] + "y")]
-    assert rows_of(repeated_spans(docs_of(rows, 9), rows_sent=rows_sent)) == brute_force(rows)
+    found = repeated_spans(docs_of(rows, 9), rows_sent=limits[0], together=limits[1])
+    assert rows_of(found) == brute_force(rows)
 
 
 def test_documents_equal_brute_force(docs_of):

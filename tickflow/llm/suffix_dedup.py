@@ -6,9 +6,10 @@ windows have their sample at the same offset. A sample stands for a stretch of s
 them are its context.
 
 1. Samples are combined by key, and those that one text alone holds go: their windows are in no other text.
-2. Equal contexts are one, with the smallest document that holds it: in all later ones the whole context is repeated.
-3. Windows of different contexts of one key are combined by their bytes: in its first document a context loses the
-   windows that a still earlier document holds in another context.
+2. Equal contexts are one, named by a hash besides the key, with the smallest document that holds it: in all later ones
+   the whole context is repeated.
+3. Windows of different contexts of one key are compared by their bytes, in the first document of each: there a context
+   loses the windows that a still earlier document holds in another context.
 
 All three are aggregations that Spark combines before the shuffle and joins that it can split, so that a passage which a
 third of all documents share is never in one task's hands.
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +34,10 @@ from tickflow.llm.common import fresh, named, stored, texts
 LENGTH = 50
 GRAM = 16
 SPANS = "spans array<struct<start:int,stop:int>>"
-#: Up to so many shared keys, copies or spans (tens of bytes each) are sent to all tasks; more are joined by a shuffle.
-ROWS_SENT = 2_000_000
+#: Up to so many shared keys (4 bytes each), copies or spans are sent to all tasks; more are joined by a shuffle.
+ROWS_SENT = 8_000_000
+#: Up to so many contexts of a key are compared in one task; the windows of keys with more are shuffled one by one.
+TOGETHER = 10_000
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -98,7 +102,7 @@ def _contexts(length: int, wanted):
         for batch in batches:
             for low in range(0, len(batch), 200):
                 some = batch.slice(low, 200)
-                owner, keys, starts, contexts = [], [], [], []
+                owner, keys, names, starts, counts = [], [], [], [], []
                 for n in range(len(some)):
                     text = some.column("text")[n].as_py()
                     key, positions, firsts = samples(text, length)
@@ -106,7 +110,7 @@ def _contexts(length: int, wanted):
                     if keys_wanted is None:
                         chosen = np.isin(positions, some.column("positions")[n].values.to_numpy())
                     elif len(keys_wanted):
-                        signed = key.view(np.int64)
+                        signed = key.view(np.int64) >> 32
                         place = np.minimum(np.searchsorted(keys_wanted, signed), len(keys_wanted) - 1)
                         chosen = keys_wanted[place] == signed
                     else:
@@ -114,80 +118,156 @@ def _contexts(length: int, wanted):
                     for i in np.flatnonzero(chosen).tolist():
                         owner.append(n)
                         keys.append(key[i])
+                        names.append(xxhash.xxh64_intdigest(text[firsts[i] : lasts[i] + length]))
                         starts.append(firsts[i])
-                        contexts.append(text[firsts[i] : lasts[i] + length])
+                        counts.append(lasts[i] - firsts[i] + 1)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.array(keys, np.uint64).view(np.int64)),
+                        *(pa.array(np.array(hashes, np.uint64).view(np.int64)) for hashes in (keys, names)),
                         *(some.column(name).take(pa.array(owner, pa.int64())) for name in ("doc_id", "text_id")),
                         pa.array(starts, pa.int32()),
-                        pa.array(contexts, pa.binary()),
+                        pa.array(counts, pa.int32()),
                     ],
-                    ["key", "doc_id", "text_id", "start", "context"],
+                    ["key", "name", "doc_id", "text_id", "start", "windows"],
                 )
 
     return each
 
 
 def shared_contexts(rows: DataFrame, length: int, rows_sent: int) -> DataFrame:
-    """key, doc_id, text_id, start, context of ``rows`` (doc_id, text_id, text) for the keys of several texts."""
+    """key, name, doc_id, text_id, start and number of windows of the contexts of ``rows`` (doc_id, text_id, text), for the
+    keys of several texts. Sent keys are cut to half their bits, which lets a few others through."""
     spark = rows.sparkSession
     kind = rows.schema["doc_id"].dataType.simpleString()
     rows = rows.select("doc_id", "text_id", "text")
     found = rows.mapInArrow(_keys(length), f"key long, doc_id {kind}, text_id long, at int")
     held = found.groupBy("key").agg(F.min("text_id").alias("low"), F.max("text_id").alias("high"))
     shared = stored(held.filter("low < high").select("key"))
-    schema = f"key long, doc_id {kind}, text_id long, start int, context binary"
+    schema = f"key long, name long, doc_id {kind}, text_id long, start int, windows int"
     if shared.count() <= rows_sent:
-        keys = np.sort(np.array([key for (key,) in shared.collect()], np.int64))
-        wanted = spark.sparkContext.broadcast(keys)
+        halves = shared.select(F.shiftright("key", 32).cast("int").alias("half")).distinct().toArrow()
+        wanted = spark.sparkContext.broadcast(np.sort(halves["half"].to_numpy()).astype(np.int64))
         return rows.mapInArrow(_contexts(length, wanted), schema)
     positions = found.join(shared, "key").groupBy("doc_id").agg(F.collect_list("at").alias("positions"))
     with_positions = rows.join(positions, "doc_id").select("doc_id", "text_id", "text", "positions")
     return with_positions.mapInArrow(_contexts(length, None), schema)
 
 
+def _bytes_of(length: int):
+    """The contexts at given places (``wanted``) of texts: key, together, doc_id, text_id, start, context."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), 200):
+                some = batch.slice(low, 200)
+                owner, out = [], []
+                for n, (text, wanted) in enumerate(zip(some.column("text"), some.column("wanted").to_pylist())):
+                    text = text.as_py()
+                    for w in wanted:
+                        owner.append(n)
+                        context = text[w["start"] : w["start"] + w["windows"] + length - 1]
+                        out.append((w["key"], w["together"], w["start"], context))
+                if out:
+                    types = (pa.int64(), pa.bool_(), pa.int32(), pa.binary())
+                    columns = [pa.array(column, kind) for column, kind in zip(zip(*out), types)]
+                    ids = [some.column(name).take(pa.array(owner)) for name in ("doc_id", "text_id")]
+                    names = ["key", "together", "doc_id", "text_id", "start", "context"]
+                    yield pa.RecordBatch.from_arrays([*columns[:2], *ids, *columns[2:]], names)
+
+    return each
+
+
+def _compared(length: int):
+    """Rows sorted by key: of each context the windows that a smaller document has in another one, in runs."""
+
+    def earlier(rows: list) -> Iterator[tuple]:
+        if len({context for *_, context in rows}) < 2:
+            return
+        windows = sorted((c[at : at + length], doc_id) for doc_id, _, _, c in rows for at in range(len(c) - length + 1))
+        least = {}
+        for before, (window, doc_id) in zip([(None, None), *windows], windows):
+            if window != before[0]:  # neighbours differ: the first of equal windows is the smallest document's
+                least[window] = doc_id
+        for doc_id, text_id, start, context in rows:
+            run, count = None, len(context) - length + 1
+            for at in range(count + 1):
+                repeated = at < count and least[context[at : at + length]] < doc_id
+                if repeated and run is None:
+                    run = at
+                elif not repeated and run is not None:
+                    yield doc_id, text_id, start + run, start + at - 1 + length
+                    run = None
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, kinds = None, [], None
+
+        def batch_of(found: list) -> pa.RecordBatch:
+            columns = [pa.array(column, kind) for column, kind in zip(zip(*found), kinds)]
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_id", "start", "stop"])
+
+        for batch in batches:
+            kinds = (batch.schema.field("doc_id").type, pa.int64(), pa.int32(), pa.int32())
+            out: list[tuple] = []
+            columns = (batch.column(name).to_pylist() for name in ("key", "doc_id", "text_id", "start", "context"))
+            for row_key, *row in zip(*columns):
+                if row_key != key:
+                    out += earlier(rows)
+                    key, rows = row_key, []
+                rows.append(row)
+            if out:
+                yield batch_of(out)
+        if found := list(earlier(rows)):
+            yield batch_of(found)
+
+    return each
+
+
 def _windows(length: int):
-    """The windows of contexts: window, first and where it is (context_id, n)."""
+    """The windows of contexts one by one: doc_id, text_id, start, window."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, len(batch), 2_000):
                 some = batch.slice(low, 2_000)
-                owner, places, windows = [], [], []
-                for n, context in enumerate(some.column("context").to_pylist()):
+                owner, starts, windows = [], [], []
+                for n, (start, context) in enumerate(zip(some.column("start").to_pylist(), some.column("context").to_pylist())):
                     count = len(context) - length + 1
                     owner += [n] * count
-                    places += range(count)
+                    starts += range(start, start + count)
                     windows += [context[at : at + length] for at in range(count)]
-                ids, firsts = (some.column(name).take(pa.array(owner, pa.int64())) for name in ("context_id", "first"))
-                columns = [pa.array(windows, pa.binary()), firsts, ids, pa.array(places, pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, ["window", "first", "context_id", "n"])
+                ids = [some.column(name).take(pa.array(owner, pa.int64())) for name in ("doc_id", "text_id")]
+                columns = [*ids, pa.array(starts, pa.int32()), pa.array(windows, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_id", "start", "window"])
 
     return each
 
 
-def repeated_stretches(contexts: DataFrame, length: int) -> DataFrame:
-    """doc_id, text_id, start, stop of what is repeated in ``contexts``, as they overlap."""
+def repeated_stretches(contexts: DataFrame, rows: DataFrame, length: int, rows_sent: int, together: int) -> DataFrame:
+    """doc_id, text_id, start, stop of what is repeated in ``contexts`` of ``rows`` (doc_id, text_id, text), as they
+    overlap."""
     kind = contexts.schema["doc_id"].dataType.simpleString()
-    once = contexts.groupBy("key", "context").agg(F.min("doc_id").alias("first"))
-    once = stored(once.withColumn("context_id", F.monotonically_increasing_id()))
     span = ["doc_id", "text_id", "start", "stop"]
-    placed = contexts.join(once, ["key", "context"])
-    stop = (F.col("start") + F.length("context")).alias("stop")
+    once = stored(contexts.groupBy("key", "name").agg(F.min("doc_id").alias("first")))
+    several = once.groupBy("key").agg(F.count(F.lit(1)).alias("number")).filter("number > 1")
+    placed = contexts.join(once, ["key", "name"])
+    stop = (F.col("start") + F.col("windows") + (length - 1)).alias("stop")
     later = placed.filter("first < doc_id").select("doc_id", "text_id", "start", stop)
 
-    several = once.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("least")).filter("n > 1")
-    # A context that no earlier document can share a window with is only there for others to find.
-    windows = once.join(several.select("key"), "key", "left_semi").select("context", "first", "context_id")
-    windows = windows.mapInArrow(_windows(length), f"window binary, first {kind}, context_id long, n int")
-    least = windows.groupBy("window").agg(F.min("first").alias("least"), F.max("first").alias("most"))
-    least = least.filter("least < most").select("window", "least")
-    earlier = windows.join(least, "window").filter("least < first").select("context_id", "n")
-    owners = placed.filter("first = doc_id").select("context_id", "doc_id", "text_id", "start")
-    begin = F.col("start") + F.col("n")
-    own = owners.join(earlier, "context_id").select("doc_id", "text_id", begin.alias("start"), (begin + length).alias("stop"))
-    return later.unionByName(own).select(span)
+    want = F.struct("key", (F.col("number") <= together).alias("together"), "start", "windows")
+    owners = placed.filter("first = doc_id").join(several, "key")
+    owners = stored(owners.groupBy("doc_id", "text_id").agg(F.collect_set(want).alias("wanted")))
+    few = (owners.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= rows_sent // 4
+    texts_of = rows.select("doc_id", "text_id", "text").join(F.broadcast(owners) if few else owners, ["doc_id", "text_id"])
+    schema = f"key long, together boolean, doc_id {kind}, text_id long, start int, context binary"
+    found = stored(texts_of.mapInArrow(_bytes_of(length), schema).distinct())
+
+    in_task = found.filter("together").repartition("key").sortWithinPartitions("key")
+    own = in_task.mapInArrow(_compared(length), f"doc_id {kind}, text_id long, start int, stop int")
+    windows = found.filter("NOT together").mapInArrow(_windows(length), f"doc_id {kind}, text_id long, start int, window binary")
+    least = windows.groupBy("window").agg(F.min("doc_id").alias("least"))
+    beyond = windows.join(least, "window").filter("least < doc_id")
+    beyond = beyond.select("doc_id", "text_id", "start", (F.col("start") + length).alias("stop"))
+    return later.unionByName(own).unionByName(beyond).select(span)
 
 
 def _merged(spans: DataFrame) -> DataFrame:
@@ -228,6 +308,7 @@ def repeated_spans(
     text_col: str = "text",
     length: int = LENGTH,
     rows_sent: int = ROWS_SENT,
+    together: int = TOGETHER,
 ) -> DataFrame:
     """Each document with what is removed: doc_id, n_bytes, n_removed, n_spans, spans (start, stop), kept_sha256.
 
@@ -238,14 +319,14 @@ def repeated_spans(
     document for others. Rows of one id are one document as far as others look at it: none is earlier than another.
     Repeated rows come out as they come in. An empty table gives no rows.
     """
-    rows, spans = _rows_and_spans(docs, id_col, text_col, length, rows_sent)
+    rows, spans = _rows_and_spans(docs, id_col, text_col, length, rows_sent, together)
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, {SPANS}, kept_sha256 string"
     return rows.join(spans, ["doc_id", "text_id"], "left").select("doc_id", "text", "spans").mapInArrow(_kept, schema)
 
 
 def _rows_and_spans(
-    docs: DataFrame, id_col: str, text_col: str, length: int, rows_sent: int = ROWS_SENT
+    docs: DataFrame, id_col: str, text_col: str, length: int, rows_sent: int = ROWS_SENT, together: int = TOGETHER
 ) -> tuple[DataFrame, DataFrame]:
     """Documents as doc_id, text_id, text (bytes); and by doc_id and text_id the spans to remove."""
     rows = texts(docs, id_col, text_col).withColumn("text_id", F.xxhash64("text"))
@@ -259,7 +340,7 @@ def _rows_and_spans(
     sent = F.broadcast(copies) if copies.count() <= rows_sent else copies
     first_texts = known.join(sent, ["doc_id", "text_id"], "left_anti")
     contexts = stored(shared_contexts(first_texts, length, rows_sent))
-    spans = repeated_stretches(contexts, length).unionByName(whole)
+    spans = repeated_stretches(contexts, first_texts, length, rows_sent, together).unionByName(whole)
     spans = stored(_merged(spans))
     few = (spans.agg(F.sum(F.size("spans"))).first()[0] or 0) <= rows_sent
     return rows, F.broadcast(spans) if few else spans
