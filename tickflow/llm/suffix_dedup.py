@@ -154,7 +154,7 @@ def shared_contexts(rows: DataFrame, length: int, rows_sent: int) -> DataFrame:
 
 
 def _bytes_of(length: int):
-    """The contexts at given places (``wanted``) of texts: key, together, doc_id, text_id, start, context."""
+    """The contexts at given places (``wanted``) of texts: key, doc_id, text_id, start, context."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,13 +166,13 @@ def _bytes_of(length: int):
                     for w in wanted:
                         owner.append(n)
                         context = text[w["start"] : w["start"] + w["windows"] + length - 1]
-                        out.append((w["key"], w["together"], w["start"], context))
+                        out.append((w["key"], w["start"], context))
                 if out:
-                    types = (pa.int64(), pa.bool_(), pa.int32(), pa.binary())
+                    types = (pa.int64(), pa.int32(), pa.binary())
                     columns = [pa.array(column, kind) for column, kind in zip(zip(*out), types)]
                     ids = [some.column(name).take(pa.array(owner)) for name in ("doc_id", "text_id")]
-                    names = ["key", "together", "doc_id", "text_id", "start", "context"]
-                    yield pa.RecordBatch.from_arrays([*columns[:2], *ids, *columns[2:]], names)
+                    names = ["key", "doc_id", "text_id", "start", "context"]
+                    yield pa.RecordBatch.from_arrays([columns[0], *ids, *columns[1:]], names)
 
     return each
 
@@ -253,21 +253,28 @@ def repeated_stretches(contexts: DataFrame, rows: DataFrame, length: int, rows_s
     stop = (F.col("start") + F.col("windows") + (length - 1)).alias("stop")
     later = placed.filter("first < doc_id").select("doc_id", "text_id", "start", stop)
 
-    want = F.struct("key", (F.col("number") <= together).alias("together"), "start", "windows")
-    owners = placed.filter("first = doc_id").join(several, "key")
-    owners = stored(owners.groupBy("doc_id", "text_id").agg(F.collect_set(want).alias("wanted")))
-    few = (owners.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= rows_sent // 4
-    texts_of = rows.select("doc_id", "text_id", "text").join(F.broadcast(owners) if few else owners, ["doc_id", "text_id"])
-    schema = f"key long, together boolean, doc_id {kind}, text_id long, start int, context binary"
-    found = stored(texts_of.mapInArrow(_bytes_of(length), schema).distinct())
+    owners = stored(placed.filter("first = doc_id").join(several, "key").drop("name", "first"))
+    schema = f"key long, doc_id {kind}, text_id long, start int, context binary"
 
-    in_task = found.filter("together").repartition("key").sortWithinPartitions("key")
+    def with_bytes(some: DataFrame) -> DataFrame:
+        want = F.collect_set(F.struct("key", "start", "windows")).alias("wanted")
+        listed = some.groupBy("doc_id", "text_id").agg(want)
+        few = some.count() <= rows_sent // 4
+        whole = rows.select("doc_id", "text_id", "text").join(F.broadcast(listed) if few else listed, ["doc_id", "text_id"])
+        return whole.mapInArrow(_bytes_of(length), schema)
+
+    in_task = with_bytes(owners.filter(F.col("number") <= together)).repartition("key").sortWithinPartitions("key")
     own = in_task.mapInArrow(_compared(length), f"doc_id {kind}, text_id long, start int, stop int")
-    windows = found.filter("NOT together").mapInArrow(_windows(length), f"doc_id {kind}, text_id long, start int, window binary")
+    many = owners.filter(F.col("number") > together)
+    found = later.unionByName(own)
+    if many.isEmpty():
+        return found.select(span)
+    windows = stored(with_bytes(many))
+    windows = windows.mapInArrow(_windows(length), f"doc_id {kind}, text_id long, start int, window binary")
     least = windows.groupBy("window").agg(F.min("doc_id").alias("least"))
     beyond = windows.join(least, "window").filter("least < doc_id")
     beyond = beyond.select("doc_id", "text_id", "start", (F.col("start") + length).alias("stop"))
-    return later.unionByName(own).unionByName(beyond).select(span)
+    return found.unionByName(beyond).select(span)
 
 
 def _merged(spans: DataFrame) -> DataFrame:
