@@ -25,3 +25,13 @@ def test_bad_windows_are_refused():
         TickParams(windows=(("odd", timedelta(seconds=35)),))
     with pytest.raises(ValueError):
         TickParams(windows=(("b", timedelta(seconds=60)), ("a", timedelta(seconds=30))))
+
+
+def test_session_settings_as_given():
+    from tickflow.plans.session import session_settings
+
+    given = session_settings(4, driver_memory="1g", executor_memory="2g", max_result_size="512m", packages=("a:b:1", "c:d:2"))
+    assert given["spark.sql.shuffle.partitions"] == "4" and given["spark.driver.maxResultSize"] == "512m"
+    assert (given["spark.driver.memory"], given["spark.executor.memory"]) == ("1g", "2g")
+    assert given["spark.jars.packages"] == "a:b:1,c:d:2"
+    assert not {"spark.driver.maxResultSize", "spark.jars.packages", "spark.driver.memory"} & session_settings().keys()

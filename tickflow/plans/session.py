@@ -13,6 +13,7 @@ def session_settings(
     shuffle_partitions: int | None = None,
     driver_memory: str | None = None,
     executor_memory: str | None = None,
+    max_result_size: str | None = None,
     packages: tuple[str, ...] = (),
 ) -> dict[str, str]:
     """Settings of all jobs; what is not given is left to Spark or the cluster.
@@ -34,6 +35,8 @@ def session_settings(
         settings["spark.driver.memory"] = driver_memory
     if executor_memory:
         settings["spark.executor.memory"] = executor_memory
+    if max_result_size:
+        settings["spark.driver.maxResultSize"] = max_result_size
     if packages:
         settings["spark.jars.packages"] = ",".join(packages)
     return settings
