@@ -1,7 +1,7 @@
 """Repeated passages: strings of a given length that also start in an earlier document, removed byte by byte.
 
 Not by the sort that a difference cover of residues asks for, see the README: here the cover is chosen by content. In
-each window of ``length`` bytes the 16 bytes of the smallest hash are its sample, about one position in 18, so equal
+each window of ``length`` bytes the 24 bytes of the smallest hash are its sample, about one position in 14, so equal
 windows have their sample at the same offset. A sample stands for a stretch of successive windows; the bytes of all of
 them are its context.
 
@@ -32,7 +32,8 @@ from pyspark.sql.window import Window
 from tickflow.llm.common import fresh, named, stored, texts
 
 LENGTH = 50
-GRAM = 16
+#: Bytes of a sample. Shorter ones are fewer, but more of them stand in texts that have no window in common.
+GRAM = 24
 SPANS = "spans array<struct<start:int,stop:int>>"
 #: Up to so many shared keys (4 bytes each), copies or spans are sent to all tasks; more are joined by a shuffle.
 ROWS_SENT = 8_000_000
@@ -50,7 +51,7 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def samples(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, positions, firsts): each sampled position with the hash of its 16 bytes, and the first of the windows it
+    """(keys, positions, firsts): each sampled position with the 48-bit hash of its bytes, and the first of the windows it
     stands for, which end before the next sample's first one. A window's sample is the leftmost of the smallest
     (32-bit) hashes in it."""
     if len(text) < length:
@@ -58,10 +59,14 @@ def samples(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
     hashed = (np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
     power = np.array([0x9E3779B97F4A7C15], np.uint64)
     size = 1
-    while size < GRAM:
+    while size < 8:
         hashed = hashed[:-size] * power + hashed[size:]
         power = power * power
         size *= 2
+    eights, count = hashed, len(text) - GRAM + 1
+    hashed = eights[:count]
+    for at in range(8, GRAM, 8):
+        hashed = hashed * power + eights[at : at + count]
     hashed ^= hashed >> np.uint64(31)
     hashed *= np.uint64(0xBF58476D1CE4E5B9)
     hashed ^= hashed >> np.uint64(29)
@@ -69,11 +74,24 @@ def samples(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
     chosen = (_sliding_least(placed, length - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     firsts = np.flatnonzero(np.diff(chosen, prepend=-1))
     at = chosen[firsts]
-    return hashed[at], at, firsts
+    return hashed[at] >> np.uint64(16), at, firsts
 
 
 def _keys(length: int):
-    """Samples of texts: key, doc_id, text_id, at."""
+    """The keys of each text, each once."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), 500):
+                some = batch.column("text").slice(low, 500)
+                found = [np.unique(samples(text.as_py(), length)[0]) for text in some]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["key"])
+
+    return each
+
+
+def _places(length: int):
+    """Samples of texts: key, doc_id, at."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,10 +103,10 @@ def _keys(length: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(columns[0].view(np.int64)),
-                        *(some.column(name).take(pa.array(owner)) for name in ("doc_id", "text_id")),
+                        some.column("doc_id").take(pa.array(owner)),
                         pa.array(columns[1].astype(np.int32)),
                     ],
-                    ["key", "doc_id", "text_id", "at"],
+                    ["key", "doc_id", "at"],
                 )
 
     return each
@@ -110,9 +128,9 @@ def _contexts(length: int, wanted):
                     if keys_wanted is None:
                         chosen = np.isin(positions, some.column("positions")[n].values.to_numpy())
                     elif len(keys_wanted):
-                        signed = key.view(np.int64) >> 32
-                        place = np.minimum(np.searchsorted(keys_wanted, signed), len(keys_wanted) - 1)
-                        chosen = keys_wanted[place] == signed
+                        parts = (key >> np.uint64(16)).astype(np.uint32)
+                        place = np.minimum(np.searchsorted(keys_wanted, parts), len(keys_wanted) - 1)
+                        chosen = keys_wanted[place] == parts
                     else:
                         continue
                     for i in np.flatnonzero(chosen).tolist():
@@ -136,18 +154,18 @@ def _contexts(length: int, wanted):
 
 def shared_contexts(rows: DataFrame, length: int, rows_sent: int) -> DataFrame:
     """key, name, doc_id, text_id, start and number of windows of the contexts of ``rows`` (doc_id, text_id, text), for the
-    keys of several texts. Sent keys are cut to half their bits, which lets a few others through."""
+    keys of several texts. Sent keys are cut to 32 bits, which lets a few others through."""
     spark = rows.sparkSession
     kind = rows.schema["doc_id"].dataType.simpleString()
     rows = rows.select("doc_id", "text_id", "text")
-    found = rows.mapInArrow(_keys(length), f"key long, doc_id {kind}, text_id long, at int")
-    held = found.groupBy("key").agg(F.min("text_id").alias("low"), F.max("text_id").alias("high"))
-    shared = stored(held.filter("low < high").select("key"))
+    held = rows.select("text").mapInArrow(_keys(length), "key long").groupBy("key").agg(F.count(F.lit(1)).alias("number"))
+    shared = stored(held.filter("number > 1").select("key"))
     schema = f"key long, name long, doc_id {kind}, text_id long, start int, windows int"
     if shared.count() <= rows_sent:
-        halves = shared.select(F.shiftright("key", 32).cast("int").alias("half")).distinct().toArrow()
-        wanted = spark.sparkContext.broadcast(np.sort(halves["half"].to_numpy()).astype(np.int64))
+        parts = shared.select(F.shiftright("key", 16).alias("part")).distinct().toArrow()
+        wanted = spark.sparkContext.broadcast(np.sort(parts["part"].to_numpy().astype(np.uint32)))
         return rows.mapInArrow(_contexts(length, wanted), schema)
+    found = rows.mapInArrow(_places(length), f"key long, doc_id {kind}, at int")
     positions = found.join(shared, "key").groupBy("doc_id").agg(F.collect_list("at").alias("positions"))
     with_positions = rows.join(positions, "doc_id").select("doc_id", "text_id", "text", "positions")
     return with_positions.mapInArrow(_contexts(length, None), schema)
@@ -242,14 +260,14 @@ def _windows(length: int):
     return each
 
 
-def repeated_stretches(contexts: DataFrame, rows: DataFrame, length: int, rows_sent: int, together: int) -> DataFrame:
+def repeated_stretches(contexts: DataFrame, rows: DataFrame, length: int, together: int) -> DataFrame:
     """doc_id, text_id, start, stop of what is repeated in ``contexts`` of ``rows`` (doc_id, text_id, text), as they
     overlap."""
     kind = contexts.schema["doc_id"].dataType.simpleString()
     span = ["doc_id", "text_id", "start", "stop"]
     once = stored(contexts.groupBy("key", "name").agg(F.min("doc_id").alias("first")))
     several = once.groupBy("key").agg(F.count(F.lit(1)).alias("number")).filter("number > 1")
-    placed = contexts.join(once, ["key", "name"])
+    placed = stored(contexts.join(once, ["key", "name"]))
     stop = (F.col("start") + F.col("windows") + (length - 1)).alias("stop")
     later = placed.filter("first < doc_id").select("doc_id", "text_id", "start", stop)
 
@@ -259,8 +277,7 @@ def repeated_stretches(contexts: DataFrame, rows: DataFrame, length: int, rows_s
     def with_bytes(some: DataFrame) -> DataFrame:
         want = F.collect_set(F.struct("key", "start", "windows")).alias("wanted")
         listed = some.groupBy("doc_id", "text_id").agg(want)
-        few = some.count() <= rows_sent // 4
-        whole = rows.select("doc_id", "text_id", "text").join(F.broadcast(listed) if few else listed, ["doc_id", "text_id"])
+        whole = rows.select("doc_id", "text_id", "text").join(listed, ["doc_id", "text_id"])
         return whole.mapInArrow(_bytes_of(length), schema)
 
     in_task = with_bytes(owners.filter(F.col("number") <= together)).repartition("key").sortWithinPartitions("key")
@@ -347,7 +364,7 @@ def _rows_and_spans(
     sent = F.broadcast(copies) if copies.count() <= rows_sent else copies
     first_texts = known.join(sent, ["doc_id", "text_id"], "left_anti")
     contexts = stored(shared_contexts(first_texts, length, rows_sent))
-    spans = repeated_stretches(contexts, first_texts, length, rows_sent, together).unionByName(whole)
+    spans = repeated_stretches(contexts, first_texts, length, together).unionByName(whole)
     spans = stored(_merged(spans))
     few = (spans.agg(F.sum(F.size("spans"))).first()[0] or 0) <= rows_sent
     return rows, F.broadcast(spans) if few else spans
