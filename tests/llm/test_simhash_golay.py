@@ -3,7 +3,7 @@ import random
 import numpy as np
 import xxhash
 
-from tickflow.llm.simhash_golay import codewords, drop_near_copies, fingerprint, near_pairs, simhash_groups
+from tickflow.llm.simhash_golay import codewords, drop_near_copies, fingerprint, near_pairs, near_roots, simhash_groups
 
 
 def brute_print(text):
@@ -58,6 +58,37 @@ def test_pairs_equal_brute_force(spark):
     assert len(found) == len(set(found)) and {tuple(r) for r in found} == close and len(close) > 600
 
 
+def test_roots_equal_brute_force(spark):
+    """Sparse and dense families, chains, and strays within 4 bits of the edge of a family alone."""
+    dice = random.Random(8)
+
+    def changed(value, errors):
+        for bit in dice.sample(range(64), errors):
+            value ^= 1 << bit
+        return value
+
+    prints = {dice.getrandbits(64) for _ in range(100)}
+    for centre in [dice.getrandbits(64) for _ in range(3)]:
+        family = [changed(centre, dice.randrange(1, 4)) for _ in range(250)]
+        prints |= {centre, *family, *(changed(p, 4) for p in family[:40])}
+    for _ in range(20):
+        link = dice.getrandbits(64)
+        for _ in range(8):
+            link = changed(link, dice.randrange(3, 6))
+            prints.add(link)
+    signed = sorted(p - (1 << 64) if p >> 63 else p for p in prints)
+    values, root = np.array(signed, np.int64), np.arange(len(signed))
+    near = np.bitwise_count((values[:, None] ^ values[None, :]).view(np.uint64)) <= 4
+    while True:
+        least = np.where(near, root[None, :], len(signed)).min(axis=1)
+        if (least == root).all():
+            break
+        root = least
+    found = near_roots(spark.createDataFrame([(p,) for p in signed], "fingerprint long")).collect()
+    assert sorted(tuple(r) for r in found) == [(p, signed[r]) for p, r in zip(signed, root.tolist())]
+    assert 100 < len(set(root.tolist())) < len(signed) - 700
+
+
 def test_groups_equal_brute_force(docs_of):
     dice = random.Random(2)
     words = [f"W{i}é" for i in range(400)]

@@ -22,6 +22,8 @@ SEED = 42
 GENERATOR = 0b101011100011
 SEGMENTS = (22, 21, 21)
 CODE_BITS, CHECK_BITS = 23, 11
+#: Bits of a key: at most a whole segment, and 24 of codewords. Its kind stands above them.
+KEY_BITS = 46
 
 
 def fingerprint(text: bytes, width: int = SHINGLE_WORDS) -> int:
@@ -149,8 +151,8 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start in range(0, len(prints), 2_000):
             some = prints[start : start + 2_000]
             at, kinds, keys = print_keys(some.view(np.uint64))
-            columns = [pa.array(kinds), pa.array(keys), pa.array(some[at])]
-            yield pa.RecordBatch.from_arrays(columns, ["kind", "key", "fingerprint"])
+            columns = [pa.array(kinds.astype(np.int64) << KEY_BITS | keys), pa.array(some[at])]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "fingerprint"])
 
 
 def _signed(mask: int) -> int:
@@ -170,14 +172,64 @@ def _first_kind(a: str, b: str):
     return kind
 
 
+def _keys_of(prints: DataFrame) -> DataFrame:
+    """key (with its kind) and fingerprint; made in many tasks, as each fingerprint has over a hundred keys."""
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return prints.select("fingerprint").repartition(tasks, "fingerprint").mapInArrow(_keyed, "key long, fingerprint long")
+
+
+def _close(a: str, b: str):
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= MAX_BITS
+
+
 def near_pairs(prints: DataFrame) -> DataFrame:
-    """Pairs (a < b) of the distinct ``fingerprint`` values given that differ in at most 4 bits."""
-    keyed = prints.mapInArrow(_keyed, "kind int, key long, fingerprint long")
+    """Pairs (a < b) of the distinct ``fingerprint`` values given that differ in at most 4 bits.
+
+    All of them: as many as the square of a dense family. Groups need fewer links, see ``near_roots``.
+    """
+    keyed = _keys_of(prints)
     left = keyed.withColumnRenamed("fingerprint", "a")
     right = keyed.withColumnRenamed("fingerprint", "b")
-    pairs = left.join(right, ["kind", "key"]).filter("a < b")
-    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS
-    return pairs.filter(close & (_first_kind("a", "b") == F.col("kind"))).select("a", "b").distinct()
+    pairs = left.join(right, "key").filter("a < b")
+    first = _first_kind("a", "b") == F.shiftright("key", KEY_BITS)
+    return pairs.filter(_close("a", "b") & first).select("a", "b").distinct()
+
+
+def near_roots(prints: DataFrame) -> DataFrame:
+    """fingerprint, root: each of the distinct ``fingerprint`` values given, with the smallest that links of at most 4
+    bits reach from it.
+
+    Not by all pairs of a bucket. First its members are linked to two of them, the least and the greatest in an order
+    that differs from bucket to bucket; in a dense family that makes one group of nearly all, in as many rows as the
+    family has keys. What is left are links between members of different groups: of two such members one at least is
+    outside the bucket's largest group, so only those outside are compared with the rest of the bucket.
+    """
+    keyed = _keys_of(prints)
+    mask = F.xxhash64("key")
+    ordered = F.col("fingerprint").bitwiseXOR(mask)
+    ends = stored(keyed.groupBy("key").agg(F.min(ordered).alias("low"), F.max(ordered).alias("high")).filter("low < high"))
+    members = keyed.join(ends, "key")
+    members = stored(members.select("key", "fingerprint", F.array("low", "high").alias("ends"), mask.alias("mask")))
+    stars = members.select(F.col("fingerprint").alias("a"), F.explode("ends").alias("end"), "mask")
+    stars = stars.select("a", F.col("end").bitwiseXOR(F.col("mask")).alias("b"))
+    groups = stored(connected(stars.filter((F.col("a") != F.col("b")) & _close("a", "b"))))
+    groups = groups.withColumnRenamed("node", "fingerprint")
+
+    grouped = members.select("key", "fingerprint").join(groups, "fingerprint", "left")
+    grouped = stored(grouped.select("key", "fingerprint", F.coalesce("root", "fingerprint").alias("group")))
+    sizes = grouped.groupBy("key", "group").agg(F.count(F.lit(1)).alias("size"))
+    largest = F.max(F.struct("size", "group"))["group"].alias("largest")
+    several = sizes.groupBy("key").agg(largest, F.count(F.lit(1)).alias("groups")).filter("groups > 1")
+    mixed = stored(grouped.join(several.select("key", "largest"), "key"))
+    outside = mixed.filter("group != largest").select("key", F.col("fingerprint").alias("a"), F.col("group").alias("group_a"))
+    others = mixed.select("key", F.col("fingerprint").alias("b"), F.col("group").alias("group_b"))
+    between = outside.join(others, "key").filter((F.col("group_a") != F.col("group_b")) & _close("a", "b"))
+    joined = stored(connected(between.select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))))
+
+    rooted = prints.select("fingerprint").join(groups, "fingerprint", "left")
+    rooted = rooted.select("fingerprint", F.coalesce("root", "fingerprint").alias("node"))
+    rooted = rooted.join(joined, "node", "left")
+    return rooted.select("fingerprint", F.coalesce("root", "node").alias("root"))
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -217,9 +269,7 @@ def simhash_groups(
     """
     prints = stored(fingerprints(texts(docs, id_col, text_col), width))
     classes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("smallest")))
-    roots = stored(connected(near_pairs(classes.select("fingerprint"))))
-    rooted = classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "fingerprint"))
+    rooted = classes.join(stored(near_roots(classes)), "fingerprint")
     smallest = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
     groups = rooted.join(smallest, "root").select("fingerprint", "component_id")
     hexed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
