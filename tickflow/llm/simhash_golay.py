@@ -147,12 +147,11 @@ def print_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = batch.column("fingerprint").to_numpy()
+        prints, carried = (batch.column(name).to_numpy() for name in ("fingerprint", "carried"))
         for start in range(0, len(prints), 2_000):
-            some = prints[start : start + 2_000]
-            at, kinds, keys = print_keys(some.view(np.uint64))
-            columns = [pa.array(kinds.astype(np.int64) << KEY_BITS | keys), pa.array(some[at])]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "fingerprint"])
+            at, kinds, keys = print_keys(prints[start : start + 2_000].view(np.uint64))
+            columns = [pa.array(kinds.astype(np.int64) << KEY_BITS | keys), pa.array(carried[start + at])]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "carried"])
 
 
 def _signed(mask: int) -> int:
@@ -172,10 +171,12 @@ def _first_kind(a: str, b: str):
     return kind
 
 
-def _keys_of(prints: DataFrame) -> DataFrame:
-    """key (with its kind) and fingerprint; made in many tasks, as each fingerprint has over a hundred keys."""
+def _keys_of(prints: DataFrame, carried: str = "fingerprint") -> DataFrame:
+    """key (with its kind) of each ``fingerprint``, and a long column ``carried``; made in many tasks, as each
+    fingerprint has over a hundred keys."""
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return prints.select("fingerprint").repartition(tasks, "fingerprint").mapInArrow(_keyed, "key long, fingerprint long")
+    rows = prints.select("fingerprint", F.col(carried).alias("carried")).repartition(tasks, "fingerprint")
+    return rows.mapInArrow(_keyed, "key long, carried long").withColumnRenamed("carried", carried)
 
 
 def _close(a: str, b: str):
@@ -195,41 +196,68 @@ def near_pairs(prints: DataFrame) -> DataFrame:
     return pairs.filter(_close("a", "b") & first).select("a", "b").distinct()
 
 
+def _stars(rows: DataFrame) -> DataFrame:
+    """Links (a, b) of the fingerprints of each key to two of them, if within 4 bits: the least and the greatest in an
+    order that differs from key to key."""
+    mask = F.xxhash64("key")
+    ordered = F.col("fingerprint").bitwiseXOR(mask)
+    ends = rows.groupBy("key").agg(F.min(ordered).alias("low"), F.max(ordered).alias("high")).filter("low < high")
+    ends = ends.select("key", *(F.col(end).bitwiseXOR(mask).alias(end) for end in ("low", "high")))
+    both = rows.select("key", F.col("fingerprint").alias("a")).join(ends, "key")
+    links = both.select("a", F.explode(F.array("low", "high")).alias("b"))
+    return links.filter((F.col("a") != F.col("b")) & _close("a", "b"))
+
+
+def _grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with ``group`` led on to its root in ``groups`` (node, root)."""
+    found = rows.join(groups.withColumnRenamed("node", "group"), "group", "left")
+    return found.withColumn("group", F.coalesce("root", "group")).drop("root")
+
+
 def near_roots(prints: DataFrame) -> DataFrame:
     """fingerprint, root: each of the distinct ``fingerprint`` values given, with the smallest that links of at most 4
     bits reach from it.
 
-    Not by all pairs of a bucket. First its members are linked to two of them, the least and the greatest in an order
-    that differs from bucket to bucket; in a dense family that makes one group of nearly all, in as many rows as the
-    family has keys. What is left are links between members of different groups: of two such members one at least is
-    outside the bucket's largest group, so only those outside are compared with the rest of the bucket.
+    Not by all pairs of a bucket, which in a dense family are its square:
+
+    1. Fingerprints that share two of four quarters are linked to two among them, by six keys each. That joins most of a
+       dense family.
+    2. Buckets of the Golay keys that hold one group alone say nothing new. In the others, members are linked to two of
+       them again.
+    3. What is left are links between members of different groups. Of two such members one at least is outside the
+       bucket's largest group, so only those outside are compared with the rest of the bucket.
     """
-    keyed = _keys_of(prints)
-    mask = F.xxhash64("key")
-    ordered = F.col("fingerprint").bitwiseXOR(mask)
-    ends = stored(keyed.groupBy("key").agg(F.min(ordered).alias("low"), F.max(ordered).alias("high")).filter("low < high"))
-    members = keyed.join(ends, "key")
-    members = stored(members.select("key", "fingerprint", F.array("low", "high").alias("ends"), mask.alias("mask")))
-    stars = members.select(F.col("fingerprint").alias("a"), F.explode("ends").alias("end"), "mask")
-    stars = stars.select("a", F.col("end").bitwiseXOR(F.col("mask")).alias("b"))
-    groups = stored(connected(stars.filter((F.col("a") != F.col("b")) & _close("a", "b"))))
-    groups = groups.withColumnRenamed("node", "fingerprint")
-
-    grouped = members.select("key", "fingerprint").join(groups, "fingerprint", "left")
-    grouped = stored(grouped.select("key", "fingerprint", F.coalesce("root", "fingerprint").alias("group")))
-    sizes = grouped.groupBy("key", "group").agg(F.count(F.lit(1)).alias("size"))
+    prints = prints.select("fingerprint")
+    quarters = [F.col("fingerprint").bitwiseAND(F.lit(_signed(0xFFFF << at))) for at in range(0, 64, 16)]
+    shared = [F.xxhash64(F.lit(n), x, y) for n, (x, y) in enumerate(combinations(quarters, 2))]
+    groups = stored(connected(_stars(prints.select("fingerprint", F.explode(F.array(*shared)).alias("key")))))
+    rooted = stored(_grouped(prints.withColumn("group", F.col("fingerprint")), groups))
+
+    keyed = _keys_of(rooted)
+    of_group = _keys_of(rooted, "group")
+    several = of_group.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
+    members = stored(keyed.join(stored(several.select("key")), "key"))
+    groups = stored(connected(_between(_stars(members), rooted)))
+    rooted = stored(_grouped(rooted, groups))
+
+    members = stored(members.join(rooted, "fingerprint"))
+    sizes = members.groupBy("key", "group").agg(F.count(F.lit(1)).alias("size"))
     largest = F.max(F.struct("size", "group"))["group"].alias("largest")
     several = sizes.groupBy("key").agg(largest, F.count(F.lit(1)).alias("groups")).filter("groups > 1")
-    mixed = stored(grouped.join(several.select("key", "largest"), "key"))
+    mixed = stored(members.join(several.select("key", "largest"), "key"))
     outside = mixed.filter("group != largest").select("key", F.col("fingerprint").alias("a"), F.col("group").alias("group_a"))
     others = mixed.select("key", F.col("fingerprint").alias("b"), F.col("group").alias("group_b"))
-    between = outside.join(others, "key").filter((F.col("group_a") != F.col("group_b")) & _close("a", "b"))
-    joined = stored(connected(between.select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))))
+    links = outside.join(others, "key").filter((F.col("group_a") != F.col("group_b")) & _close("a", "b"))
+    groups = stored(connected(links.select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))))
+    return _grouped(rooted, groups).select("fingerprint", F.col("group").alias("root"))
+
 
-    rooted = prints.select("fingerprint").join(groups, "fingerprint", "left")
-    rooted = rooted.select("fingerprint", F.coalesce("root", "fingerprint").alias("node"))
-    rooted = rooted.join(joined, "node", "left")
-    return rooted.select("fingerprint", F.coalesce("root", "node").alias("root"))
+def _between(links: DataFrame, rooted: DataFrame) -> DataFrame:
+    """Links (a, b) of fingerprints as links between their groups, by ``rooted`` (fingerprint, group)."""
+    for end in ("a", "b"):
+        group = rooted.select(F.col("fingerprint").alias(end), "group")
+        links = links.join(group, end).drop(end).withColumnRenamed("group", f"group_{end}")
+    return links.select(F.col("group_a").alias("a"), F.col("group_b").alias("b")).filter("a != b")
 
 
 def connected(links: DataFrame) -> DataFrame:
