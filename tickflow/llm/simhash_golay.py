@@ -197,15 +197,16 @@ def near_pairs(prints: DataFrame) -> DataFrame:
 
 
 def _stars(rows: DataFrame) -> DataFrame:
-    """Links (a, b) of the fingerprints of each key to two of them, if within 4 bits: the least and the greatest in an
-    order that differs from key to key."""
+    """A link (a, b) of each fingerprint of a key to one of two among them that is within 4 bits, if any: the least and
+    the greatest in an order that differs from key to key."""
     mask = F.xxhash64("key")
     ordered = F.col("fingerprint").bitwiseXOR(mask)
     ends = rows.groupBy("key").agg(F.min(ordered).alias("low"), F.max(ordered).alias("high")).filter("low < high")
     ends = ends.select("key", *(F.col(end).bitwiseXOR(mask).alias(end) for end in ("low", "high")))
     both = rows.select("key", F.col("fingerprint").alias("a")).join(ends, "key")
-    links = both.select("a", F.explode(F.array("low", "high")).alias("b"))
-    return links.filter((F.col("a") != F.col("b")) & _close("a", "b"))
+    link = F.when((F.col("a") != F.col("low")) & _close("a", "low"), F.col("low"))
+    link = link.when((F.col("a") != F.col("high")) & _close("a", "high"), F.col("high"))
+    return both.select("a", link.alias("b")).filter("b IS NOT NULL")
 
 
 def _grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -236,7 +237,7 @@ def near_roots(prints: DataFrame) -> DataFrame:
     keyed = _keys_of(rooted)
     of_group = _keys_of(rooted, "group")
     several = of_group.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
-    members = stored(keyed.join(stored(several.select("key")), "key"))
+    members = stored(keyed.join(several.select("key"), "key"))
     groups = stored(connected(_between(_stars(members), rooted)))
     rooted = stored(_grouped(rooted, groups))
 
