@@ -243,11 +243,11 @@ def near_roots(prints: DataFrame) -> DataFrame:
 
     members = stored(members.join(rooted, "fingerprint"))
     sizes = members.groupBy("key", "group").agg(F.count(F.lit(1)).alias("size"))
-    largest = F.max(F.struct("size", "group"))["group"].alias("largest")
-    several = sizes.groupBy("key").agg(largest, F.count(F.lit(1)).alias("groups")).filter("groups > 1")
-    mixed = stored(members.join(several.select("key", "largest"), "key"))
-    outside = mixed.filter("group != largest").select("key", F.col("fingerprint").alias("a"), F.col("group").alias("group_a"))
-    others = mixed.select("key", F.col("fingerprint").alias("b"), F.col("group").alias("group_b"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "group"))["group"].alias("largest"))
+    outer = sizes.join(largest, "key").filter("group != largest").select("key", "group")
+    outside = stored(members.join(outer, ["key", "group"]))
+    outside = outside.select("key", F.col("fingerprint").alias("a"), F.col("group").alias("group_a"))
+    others = members.select("key", F.col("fingerprint").alias("b"), F.col("group").alias("group_b"))
     links = outside.join(others, "key").filter((F.col("group_a") != F.col("group_b")) & _close("a", "b"))
     groups = stored(connected(links.select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))))
     return _grouped(rooted, groups).select("fingerprint", F.col("group").alias("root"))
