@@ -1,4 +1,5 @@
 import random
+import re
 from dataclasses import replace
 from datetime import timedelta
 
@@ -147,3 +148,56 @@ def test_plan_forms_no_pairs(spark):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "SortMergeJoin" not in plan
     assert "Python" not in plan
+
+
+def tasks_of(rows):
+    """The tasks that make rows, and the most rows of one."""
+    return rows.groupBy(F.spark_partition_id().alias("task")).count().agg(F.count("*"), F.max("count")).first()
+
+
+def test_pairs_are_dealt_out_by_their_number(spark):
+    """A million pairs and more from a few kilobytes in one file: not all of them in one or two tasks."""
+    ticks = spark.range(12_000).select(
+        F.lit("S").alias("symbol"),
+        F.pmod(F.xxhash64("id"), F.lit(50)).cast("double").alias("price"),
+        F.timestamp_millis(F.col("id") * 10).alias("event_time"),
+    ).coalesce(1)
+    tasks, largest = tasks_of(shortest.forward_pairs(ticks, REFERENCE))
+    pairs = sum(min(2_000, 11_999 - i) for i in range(12_000)) + 1  # and the last tick without one
+    assert shortest.forward_pairs(ticks, REFERENCE).count() == pairs
+    assert tasks >= 4 and largest < pairs / 2
+
+
+def test_pairs_in_the_form_shown(spark, make_ticks):
+    ticks = make_ticks((0, 1.004), (1, 2.006), (20.5, 3.0), (1, 5.0, None))
+    shown = shortest.forward_pairs(ticks, REFERENCE, lambda rows: rows.withColumn("price", F.round("price", 2)))
+    after = shortest.forward_pairs(ticks, REFERENCE)
+    after = after.withColumns({name: F.round(name, 2) for name in ("price", "right_price")})
+    assert shown.columns == after.columns and shown.count() == 4
+    assert shown.exceptAll(after).count() == 0 and after.exceptAll(shown).count() == 0
+
+
+def test_horizon_that_blocks_do_not_divide(make_ticks):
+    params = replace(REFERENCE, horizon=timedelta(microseconds=7))
+    rows = shortest.forward_pairs(make_ticks(*[(i / 1e6, float(i)) for i in range(40)]), params).collect()
+    got = sorted((r["price"], r["right_price"]) for r in rows if r["right_price"] is not None)
+    assert got == [(float(i), float(j)) for i in range(40) for j in range(i + 1, min(i + 8, 40))]
+
+
+def test_rows_of_nodes_are_dealt_out_by_their_number(spark, monkeypatch):
+    """Twice the ticks, twice the tasks, whatever Spark makes of the size of the shuffle."""
+    monkeypatch.setattr(shortest, "NODE_ROWS", 2_000)
+
+    def tasks(n):
+        ticks = spark.range(n).select(
+            F.lit("S").alias("symbol"),
+            F.timestamp_millis(F.col("id") * 1_000).alias("event_time"),
+            F.pmod(F.xxhash64("id"), F.lit(50)).cast("double").alias("price"),
+        )
+        firsts = shortest.first_higher_lower(ticks, REFERENCE)
+        plan = firsts._jdf.queryExecution().executedPlan().toString()
+        assert firsts.count() == n
+        return int(re.search(r"hashpartitioning\(symbol#\d+, block#\d+L, share#\d+, (\d+)\)", plan).group(1))
+
+    assert tasks(6_000) >= 10
+    assert tasks(12_000) >= 20
