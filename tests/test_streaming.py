@@ -122,6 +122,18 @@ def test_join_form_in_waves(spark, waves):
     same(rounded(actual), rounded(batch.filter(F.col("timestamp") <= F.lit(watermark))))
 
 
+def test_join_form_deals_ticks_out_before_they_are_multiplied(spark, waves, tmp_path):
+    """A source of one file is one task; each of its ticks becomes a row per slide of every window."""
+    waves.drop("arrival").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = stream_moving.stream_moving_stats_join(spark.readStream.schema(TICK).parquet(f"{tmp_path}/in"), PARAMS)
+    plan = stream._jdf.queryExecution().analyzed().toString().splitlines()
+    multiplied = [i for i, line in enumerate(plan) if "Generate explode" in line]
+    dealt = [i for i, line in enumerate(plan) if "Repartition" in line]
+    # The plan is printed from the result down: the ticks of each window are dealt out below their multiplication.
+    assert len(multiplied) == len(dealt) == len(PARAMS.labels)
+    assert all(m < d for m, d in zip(multiplied, dealt))
+
+
 def test_state_is_bounded(spark, waves, tmp_path):
     waves.drop("arrival").write.parquet(f"{tmp_path}/in")
     for build, most in (

@@ -147,12 +147,17 @@ def stream_moving_avg_std(ticks: DataFrame, params: TickParams, label: str) -> D
 
     Ends run ahead of the ticks by up to the window, so the delay grows by that length: windows of all lengths are
     released by the same watermark, the last slide boundary less ``moving_delay``.
+
+    Ticks are dealt out evenly before they are multiplied, as in ``stream_window_ends``.
     """
     length = params.panes(label)
+    partitions = int(ticks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pane = grid_index(F.col("event_time"), params.slide)
     per_end = (
         ticks.filter(F.col("event_time").isNotNull())
-        .select("symbol", "price", pane.alias("pane"), F.explode(F.sequence(F.lit(1), F.lit(length))).alias("ahead"))
+        .select("symbol", "price", pane.alias("pane"))
+        .repartition(partitions)
+        .select("symbol", "price", "pane", F.explode(F.sequence(F.lit(1), F.lit(length))).alias("ahead"))
         .select("symbol", "price", grid_time(F.col("pane") + F.col("ahead"), params.slide).alias("timestamp"))
         .withWatermark("timestamp", interval(length * params.slide + params.moving_delay))
     )
