@@ -6,6 +6,8 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tickflow.llm import suffix_dedup
+from tickflow.llm.common import stored
 from tickflow.llm.suffix_dedup import LENGTH, drop_repeated_passages, repeated_spans
 
 
@@ -105,3 +107,28 @@ def test_one_very_long_text(docs_of):
     rows = [(1, long[5_000:6_000]), (2, long), (3, "a" * 400_000), (4, "b" + "a" * 1_000)]
     found = {r.doc_id: (r.n_removed, r.n_spans) for r in repeated_spans(docs_of(rows)).collect()}
     assert found == {1: (0, 0), 2: (1_000, 1), 3: (0, 0), 4: (1_000, 1)}
+
+
+def test_a_full_filter_changes_nothing(docs_of):
+    """Sixteen bits let nearly every key through."""
+    rows = corpus()
+    assert rows_of(repeated_spans(docs_of(rows), filter_bits=16)) == brute_force(rows)
+
+
+@pytest.mark.parametrize("together", [10_000, 3])
+def test_a_context_is_stored_once_not_for_each_document(docs_of, monkeypatch, together):
+    dice = random.Random(4)
+    own = lambda n: "".join(dice.choice("abcdefgh ") for _ in range(n))
+    shared = own(3_000)
+    rows = [(i, own(60) + shared + own(60)) for i in range(120)]
+    kept = []
+
+    def counted(frame, folder=None):
+        kept.append(stored(frame, folder))
+        return kept[-1]
+
+    monkeypatch.setattr(suffix_dedup, "stored", counted)
+    found = repeated_spans(docs_of(rows), together=together)
+    assert rows_of(found) == brute_force(rows)
+    contexts = len(rows) * len(suffix_dedup.samples(shared.encode())[0])
+    assert sum(frame.count() for frame in kept) < contexts / 2

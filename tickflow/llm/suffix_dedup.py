@@ -5,14 +5,17 @@ each window of ``length`` bytes the 24 bytes of the smallest hash are its sample
 windows have their sample at the same offset. A sample stands for a stretch of successive windows; the bytes of all of
 them are its context.
 
-1. Samples are combined by key, and those that one text alone holds go: their windows are in no other text.
-2. Equal contexts are one, named by a hash besides the key, with the smallest document that holds it: in all later ones
-   the whole context is repeated.
-3. Windows of different contexts of one key are compared by their bytes, in the first document of each: there a context
+1. Samples are combined by key, and those that one text alone holds go: their windows are in no other text. A filter of
+   bounded size says which are left; the others that it lets through change nothing but the work.
+2. Equal contexts are one, named by a hash besides the key, with the smallest document that holds it.
+3. Each text is brought together with the names it is the first to hold, once. Where it holds a context of another
+   document's, the whole context is repeated.
+4. Windows of different contexts of one key are compared by their bytes, in the first document of each: there a context
    loses the windows that a still earlier document holds in another context.
 
-All three are aggregations that Spark combines before the shuffle and joins that it can split, so that a passage which a
-third of all documents share is never in one task's hands.
+All are aggregations that Spark combines before the shuffle and joins that it can split, so that a passage which a third
+of all documents share is never in one task's hands. What a context that many documents hold takes on disk is one row for
+the name, and its part of the merged spans; where it stands is found anew from the text.
 """
 
 from __future__ import annotations
@@ -35,8 +38,12 @@ LENGTH = 50
 #: Bytes of a sample. Shorter ones are fewer, but more of them stand in texts that have no window in common.
 GRAM = 24
 SPANS = "spans array<struct<start:int,stop:int>>"
-#: Up to so many shared keys (4 bytes each), copies or spans are sent to all tasks; more are joined by a shuffle.
+#: Up to so many copies or spans are sent to all tasks; more are joined by a shuffle.
 ROWS_SENT = 8_000_000
+#: The filter of shared keys has at most so many bits (128 MB), in segments of SEGMENT bits, and sets PROBES for a key.
+FILTER_BITS = 1 << 30
+SEGMENT = 1 << 16
+PROBES = 4
 #: Up to so many contexts of a key are compared in one task; the windows of keys with more are shuffled one by one.
 TOGETHER = 10_000
 
@@ -90,111 +97,144 @@ def _keys(length: int):
     return each
 
 
-def _places(length: int):
-    """Samples of texts: key, doc_id, at."""
+def _probes(keys: np.ndarray, segments: int, segment: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The segment of each key, and its bits in there; both counts are powers of two."""
+    mixed = keys * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    mixed ^= mixed >> np.uint64(32)
+    first, step = mixed & np.uint64(0xFFFF), mixed >> np.uint64(16) & np.uint64(0xFFFF) | np.uint64(1)
+    bits = [(first + np.uint64(n) * step & np.uint64(segment - 1)).astype(np.int64) for n in range(PROBES)]
+    return (mixed >> np.uint64(32) & np.uint64(segments - 1)).astype(np.int64), bits
+
+
+def _segments_of(segments: int, segment: int):
+    """Keys with their segment of the filter."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, len(batch), 500):
-                some = batch.slice(low, 500)
-                found = [samples(text.as_py(), length) for text in some.column("text")]
-                owner = np.repeat(np.arange(len(found)), [len(keys) for keys, _, _ in found])
-                columns = [np.concatenate([f[n] for f in found]) for n in (0, 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(columns[0].view(np.int64)),
-                        some.column("doc_id").take(pa.array(owner)),
-                        pa.array(columns[1].astype(np.int32)),
-                    ],
-                    ["key", "doc_id", "at"],
-                )
+            keys = batch.column("key")
+            at = _probes(keys.to_numpy().view(np.uint64), segments, segment)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), keys], ["segment", "key"])
+
+    return each
+
+
+def _filled(segments: int, segment: int):
+    """The bits of each segment whose keys these are, as one row."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at, bits = _probes(batch.column("key").to_numpy().view(np.uint64), segments, segment)
+            for n in np.unique(at).tolist():
+                row = found.setdefault(n, np.zeros(segment, np.bool_))
+                for places in bits:
+                    row[places[at == n]] = True
+        for n, row in found.items():
+            packed = np.packbits(row, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([packed], pa.binary())], ["segment", "bits"])
 
     return each
 
 
-def _contexts(length: int, wanted):
-    """Contexts of the samples with a wanted key, or at wanted positions if the rows say which (``positions``)."""
+def _holds(bits: np.ndarray, segment: int, keys: np.ndarray) -> np.ndarray:
+    """Which of the keys the filter lets through: all that were put in, and a few others."""
+    at, places = _probes(keys, len(bits) * 8 // segment, segment)
+    held = np.ones(len(keys), np.bool_)
+    for place in places:
+        place = place + at * segment
+        held &= (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(np.bool_)
+    return held
+
+
+def _key_filter(shared: DataFrame, most_bits: int, segment: int) -> np.ndarray:
+    """A Bloom filter of the keys, 8 bits and more for each as long as that is not above ``most_bits``."""
+    segments = max(1, min(most_bits, 1 << (8 * shared.count()).bit_length()) // segment)
+    placed = shared.mapInArrow(_segments_of(segments, segment), "segment int, key long").repartition("segment")
+    rows = placed.mapInArrow(_filled(segments, segment), "segment int, bits binary").toArrow()
+    bits = np.zeros((segments, segment // 8), np.uint8)
+    for n, row in zip(rows["segment"].to_pylist(), rows["bits"]):
+        bits[n] = np.frombuffer(row.as_buffer(), np.uint8)
+    return bits.reshape(-1)
+
+
+def _contexts(some: pa.RecordBatch, length: int, bits: np.ndarray, segment: int) -> list[tuple]:
+    """Of each text: key, name, start and stop of the contexts whose key the filter lets through, as lists."""
+    raw = [text.as_py() for text in some.column("text")]
+    found = [samples(text, length) for text in raw]
+    held = _holds(bits, segment, np.concatenate([keys for keys, _, _ in found]))
+    out, low = [], 0
+    for text, (keys, _, firsts) in zip(raw, found):
+        chosen = held[low : low + len(keys)]
+        low += len(keys)
+        stops = np.append(firsts[1:], len(text) - length + 1) + (length - 1)
+        starts, stops = firsts[chosen].tolist(), stops[chosen].tolist()
+        names = np.array([xxhash.xxh64_intdigest(text[a:b]) for a, b in zip(starts, stops)], np.uint64)
+        out.append((text, keys[chosen].view(np.int64), names.view(np.int64), starts, stops))
+    return out
+
+
+def _names(length: int, wanted, segment: int):
+    """Names of contexts with a wanted key: key, name, doc_id."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys_wanted = None if wanted is None else wanted.value
         for batch in batches:
             for low in range(0, len(batch), 200):
                 some = batch.slice(low, 200)
-                owner, keys, names, starts, counts = [], [], [], [], []
-                for n in range(len(some)):
-                    text = some.column("text")[n].as_py()
-                    key, positions, firsts = samples(text, length)
-                    lasts = np.append(firsts[1:], len(text) - length + 1) - 1
-                    if keys_wanted is None:
-                        chosen = np.isin(positions, some.column("positions")[n].values.to_numpy())
-                    elif len(keys_wanted):
-                        parts = (key >> np.uint64(16)).astype(np.uint32)
-                        place = np.minimum(np.searchsorted(keys_wanted, parts), len(keys_wanted) - 1)
-                        chosen = keys_wanted[place] == parts
-                    else:
-                        continue
-                    for i in np.flatnonzero(chosen).tolist():
-                        owner.append(n)
-                        keys.append(key[i])
-                        names.append(xxhash.xxh64_intdigest(text[firsts[i] : lasts[i] + length]))
-                        starts.append(firsts[i])
-                        counts.append(lasts[i] - firsts[i] + 1)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(pa.array(np.array(hashes, np.uint64).view(np.int64)) for hashes in (keys, names)),
-                        *(some.column(name).take(pa.array(owner, pa.int64())) for name in ("doc_id", "text_id")),
-                        pa.array(starts, pa.int32()),
-                        pa.array(counts, pa.int32()),
-                    ],
-                    ["key", "name", "doc_id", "text_id", "start", "windows"],
-                )
+                found = _contexts(some, length, wanted.value, segment)
+                owner = np.repeat(np.arange(len(found)), [len(keys) for _, keys, *_ in found])
+                columns = [np.concatenate([f[n] for f in found]) for n in (1, 2)]
+                ids = some.column("doc_id").take(pa.array(owner))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), ids], ["key", "name", "doc_id"])
 
     return each
 
 
-def shared_contexts(rows: DataFrame, length: int, rows_sent: int) -> DataFrame:
-    """key, name, doc_id, text_id, start and number of windows of the contexts of ``rows`` (doc_id, text_id, text), for the
-    keys of several texts. Sent keys are cut to 32 bits, which lets a few others through."""
-    spark = rows.sparkSession
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    rows = rows.select("doc_id", "text_id", "text")
-    held = rows.select("text").mapInArrow(_keys(length), "key long").groupBy("key").agg(F.count(F.lit(1)).alias("number"))
-    shared = stored(held.filter("number > 1").select("key"))
-    schema = f"key long, name long, doc_id {kind}, text_id long, start int, windows int"
-    if shared.count() <= rows_sent:
-        parts = shared.select(F.shiftright("key", 16).alias("part")).distinct().toArrow()
-        wanted = spark.sparkContext.broadcast(np.sort(parts["part"].to_numpy().astype(np.uint32)))
-        return rows.mapInArrow(_contexts(length, wanted), schema)
-    found = rows.mapInArrow(_places(length), f"key long, doc_id {kind}, at int")
-    positions = found.join(shared, "key").groupBy("doc_id").agg(F.collect_list("at").alias("positions"))
-    with_positions = rows.join(positions, "doc_id").select("doc_id", "text_id", "text", "positions")
-    return with_positions.mapInArrow(_contexts(length, None), schema)
+#: What a text does with a context: it is repeated (REPEATED), or the text is the first to hold it, and its key has no other
+#: (ALONE), or others to be compared within a task (TOGETHER at most) or window by window.
+REPEATED, ALONE, IN_TASK, BY_WINDOW = range(4)
 
 
-def _bytes_of(length: int):
-    """The contexts at given places (``wanted``) of texts: key, doc_id, text_id, start, context."""
+def _placed(length: int, wanted, segment: int):
+    """Texts with the names they are the first to hold (``owned``): doc_id, text_id, kind, key, start, stop and bytes of
+    the contexts that are to be compared; and what is made of repeated contexts, merged."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, len(batch), 200):
                 some = batch.slice(low, 200)
                 owner, out = [], []
-                for n, (text, wanted) in enumerate(zip(some.column("text"), some.column("wanted").to_pylist())):
-                    text = text.as_py()
-                    for w in wanted:
-                        owner.append(n)
-                        context = text[w["start"] : w["start"] + w["windows"] + length - 1]
-                        out.append((w["key"], w["start"], context))
+                for n, (text, keys, names, starts, stops) in enumerate(_contexts(some, length, wanted.value, segment)):
+                    own = some.column("owned")[n].values
+                    kinds = {} if own is None else dict(zip(own.field("name").to_pylist(), own.field("kind").to_pylist()))
+                    before, runs = len(out), []
+                    for key, name, start, stop in zip(keys.tolist(), names.tolist(), starts, stops):
+                        kind = kinds.get(name, REPEATED)
+                        if kind >= IN_TASK:
+                            out.append((kind, key, start, stop, text[start:stop]))
+                        elif kind == REPEATED and runs and start <= runs[-1][1]:
+                            runs[-1][1] = stop
+                        elif kind == REPEATED:
+                            runs.append([start, stop])
+                    out += [(REPEATED, None, start, stop, None) for start, stop in runs]
+                    owner += [n] * (len(out) - before)
                 if out:
-                    types = (pa.int64(), pa.int32(), pa.binary())
+                    types = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
                     columns = [pa.array(column, kind) for column, kind in zip(zip(*out), types)]
                     ids = [some.column(name).take(pa.array(owner)) for name in ("doc_id", "text_id")]
-                    names = ["key", "doc_id", "text_id", "start", "context"]
-                    yield pa.RecordBatch.from_arrays([columns[0], *ids, *columns[1:]], names)
+                    names = ["doc_id", "text_id", "kind", "key", "start", "stop", "context"]
+                    yield pa.RecordBatch.from_arrays([*ids, *columns], names)
 
     return each
 
 
+def shared_keys(rows: DataFrame, length: int) -> DataFrame:
+    """The keys of several texts."""
+    held = rows.select("text").mapInArrow(_keys(length), "key long").groupBy("key").agg(F.count(F.lit(1)).alias("number"))
+    return stored(held.filter("number > 1").select("key"))
+
+
 def _compared(length: int):
     """Rows sorted by key: of each context the windows that a smaller document has in another one, in runs."""
 
@@ -260,38 +300,38 @@ def _windows(length: int):
     return each
 
 
-def repeated_stretches(contexts: DataFrame, rows: DataFrame, length: int, together: int) -> DataFrame:
-    """doc_id, text_id, start, stop of what is repeated in ``contexts`` of ``rows`` (doc_id, text_id, text), as they
-    overlap."""
-    kind = contexts.schema["doc_id"].dataType.simpleString()
+def repeated_stretches(rows: DataFrame, length: int, together: int, most_bits: int = FILTER_BITS) -> DataFrame:
+    """doc_id, text_id, start, stop of what is repeated in ``rows`` (doc_id, text_id, text), as they overlap."""
+    spark = rows.sparkSession
+    kind = rows.schema["doc_id"].dataType.simpleString()
     span = ["doc_id", "text_id", "start", "stop"]
-    once = stored(contexts.groupBy("key", "name").agg(F.min("doc_id").alias("first")))
-    several = once.groupBy("key").agg(F.count(F.lit(1)).alias("number")).filter("number > 1")
-    placed = stored(contexts.join(once, ["key", "name"]))
-    stop = (F.col("start") + F.col("windows") + (length - 1)).alias("stop")
-    later = placed.filter("first < doc_id").select("doc_id", "text_id", "start", stop)
-
-    owners = stored(placed.filter("first = doc_id").join(several, "key").drop("name", "first"))
-    schema = f"key long, doc_id {kind}, text_id long, start int, context binary"
-
-    def with_bytes(some: DataFrame) -> DataFrame:
-        want = F.collect_set(F.struct("key", "start", "windows")).alias("wanted")
-        listed = some.groupBy("doc_id", "text_id").agg(want)
-        whole = rows.select("doc_id", "text_id", "text").join(listed, ["doc_id", "text_id"])
-        return whole.mapInArrow(_bytes_of(length), schema)
+    rows = rows.select("doc_id", "text_id", "text")
+    segment = min(SEGMENT, most_bits)
+    wanted = spark.sparkContext.broadcast(_key_filter(shared_keys(rows, length), most_bits, segment))
 
-    in_task = with_bytes(owners.filter(F.col("number") <= together)).repartition("key").sortWithinPartitions("key")
+    names = rows.select("doc_id", "text").mapInArrow(_names(length, wanted, segment), f"key long, name long, doc_id {kind}")
+    once = stored(names.groupBy("key", "name").agg(F.min("doc_id").alias("first")))
+    several = once.groupBy("key").agg(F.count(F.lit(1)).alias("number")).filter("number > 1")
+    way = F.when(F.col("number").isNull(), ALONE).when(F.col("number") <= together, IN_TASK).otherwise(BY_WINDOW)
+    owned = once.join(several, "key", "left").select(F.col("first").alias("doc_id"), "name", way.alias("kind"))
+    owned = owned.repartition("doc_id").groupBy("doc_id").agg(F.collect_list(F.struct("name", "kind")).alias("owned"))
+
+    schema = f"doc_id {kind}, text_id long, kind int, key long, start int, stop int, context binary"
+    with_owned = rows.join(owned, "doc_id", "left").select("doc_id", "text_id", "text", "owned")
+    placed = stored(with_owned.mapInArrow(_placed(length, wanted, segment), schema))
+    later = placed.filter(F.col("kind") == REPEATED)
+    in_task = placed.filter(F.col("kind") == IN_TASK).select("key", "doc_id", "text_id", "start", "context")
+    in_task = in_task.repartition("key").sortWithinPartitions("key")
     own = in_task.mapInArrow(_compared(length), f"doc_id {kind}, text_id long, start int, stop int")
-    many = owners.filter(F.col("number") > together)
-    found = later.unionByName(own)
+    many = placed.filter(F.col("kind") == BY_WINDOW).select("doc_id", "text_id", "start", "context")
+    found = later.select(span).unionByName(own)
     if many.isEmpty():
-        return found.select(span)
-    windows = stored(with_bytes(many))
-    windows = windows.mapInArrow(_windows(length), f"doc_id {kind}, text_id long, start int, window binary")
+        return found
+    windows = many.mapInArrow(_windows(length), f"doc_id {kind}, text_id long, start int, window binary")
     least = windows.groupBy("window").agg(F.min("doc_id").alias("least"))
     beyond = windows.join(least, "window").filter("least < doc_id")
     beyond = beyond.select("doc_id", "text_id", "start", (F.col("start") + length).alias("stop"))
-    return found.unionByName(beyond).select(span)
+    return found.unionByName(beyond)
 
 
 def _merged(spans: DataFrame) -> DataFrame:
@@ -333,6 +373,7 @@ def repeated_spans(
     length: int = LENGTH,
     rows_sent: int = ROWS_SENT,
     together: int = TOGETHER,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """Each document with what is removed: doc_id, n_bytes, n_removed, n_spans, spans (start, stop), kept_sha256.
 
@@ -343,14 +384,20 @@ def repeated_spans(
     document for others. Rows of one id are one document as far as others look at it: none is earlier than another.
     Repeated rows come out as they come in. An empty table gives no rows.
     """
-    rows, spans = _rows_and_spans(docs, id_col, text_col, length, rows_sent, together)
+    rows, spans = _rows_and_spans(docs, id_col, text_col, length, rows_sent, together, filter_bits)
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, {SPANS}, kept_sha256 string"
     return rows.join(spans, ["doc_id", "text_id"], "left").select("doc_id", "text", "spans").mapInArrow(_kept, schema)
 
 
 def _rows_and_spans(
-    docs: DataFrame, id_col: str, text_col: str, length: int, rows_sent: int = ROWS_SENT, together: int = TOGETHER
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    length: int,
+    rows_sent: int = ROWS_SENT,
+    together: int = TOGETHER,
+    filter_bits: int = FILTER_BITS,
 ) -> tuple[DataFrame, DataFrame]:
     """Documents as doc_id, text_id, text (bytes); and by doc_id and text_id the spans to remove."""
     rows = texts(docs, id_col, text_col).withColumn("text_id", F.xxhash64("text"))
@@ -363,8 +410,7 @@ def _rows_and_spans(
     whole = copies.select("doc_id", "text_id", F.lit(0).alias("start"), F.col("size").alias("stop"))
     sent = F.broadcast(copies) if copies.count() <= rows_sent else copies
     first_texts = known.join(sent, ["doc_id", "text_id"], "left_anti")
-    contexts = stored(shared_contexts(first_texts, length, rows_sent))
-    spans = repeated_stretches(contexts, first_texts, length, together).unionByName(whole)
+    spans = repeated_stretches(first_texts, length, together, filter_bits).unionByName(whole)
     spans = stored(_merged(spans))
     few = (spans.agg(F.sum(F.size("spans"))).first()[0] or 0) <= rows_sent
     return rows, F.broadcast(spans) if few else spans
