@@ -3,6 +3,8 @@ import random
 import numpy as np
 import xxhash
 
+from tickflow.llm import simhash_golay
+from tickflow.llm.common import stored
 from tickflow.llm.simhash_golay import codewords, drop_near_copies, fingerprint, near_pairs, near_roots, simhash_groups
 
 
@@ -109,5 +111,32 @@ def test_groups_equal_brute_force(docs_of):
     assert all(fingerprint((t or "").encode()) == brute_print(t) for _, t in rows[:20])
 
 
+def sent_tables(rows):
+    """The parts of the plan below each exchange that sends a table to all tasks."""
+    lines = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    for n, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = next((m for m in range(n + 1, len(lines)) if depth[m] <= depth[n]), len(lines))
+            yield "\n".join(lines[n:below])
+
+
+def test_tables_of_keys_are_not_sent_to_all_tasks(spark, monkeypatch):
+    """A fingerprint has over a hundred keys, which Spark's estimate leaves out."""
+    sent, of_keys = [], []
+
+    def watched(rows):
+        sent.extend(sent_tables(rows))
+        of_keys.append("key" in rows.columns)
+        return stored(rows)
+
+    monkeypatch.setattr(simhash_golay, "stored", watched)
+    prints = spark.createDataFrame([(p,) for p in [*range(40), *range(0xFFFF << 40, (0xFFFF << 40) + 40)]], "fingerprint long")
+    links = near_pairs(prints)
+    assert near_roots(stored(prints)).select("root").distinct().count() == 2
+    sent.extend(sent_tables(links))
+    assert any(of_keys) and sent and not [table for table in sent if "key#" in table]
+
+
 def test_empty_table(docs_of):
     assert simhash_groups(docs_of([])).count() == 0

@@ -179,6 +179,13 @@ def _keys_of(prints: DataFrame, carried: str = "fingerprint") -> DataFrame:
     return rows.mapInArrow(_keyed, "key long, carried long").withColumnRenamed("carried", carried)
 
 
+def _shuffled(rows: DataFrame) -> DataFrame:
+    """``rows``, to be joined by a shuffle: those of keys, and those that hold every fingerprint. Spark sizes keys by the
+    fingerprints they are made from, without the many keys of each, and fingerprints by their packed files, and would
+    gather tables above its limit on the driver to send them to all tasks."""
+    return rows.hint("merge")
+
+
 def _close(a: str, b: str):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= MAX_BITS
 
@@ -191,7 +198,7 @@ def near_pairs(prints: DataFrame) -> DataFrame:
     keyed = _keys_of(prints)
     left = keyed.withColumnRenamed("fingerprint", "a")
     right = keyed.withColumnRenamed("fingerprint", "b")
-    pairs = left.join(right, "key").filter("a < b")
+    pairs = left.join(_shuffled(right), "key").filter("a < b")
     first = _first_kind("a", "b") == F.shiftright("key", KEY_BITS)
     return pairs.filter(_close("a", "b") & first).select("a", "b").distinct()
 
@@ -203,7 +210,7 @@ def _stars(rows: DataFrame) -> DataFrame:
     ordered = F.col("fingerprint").bitwiseXOR(mask)
     ends = rows.groupBy("key").agg(F.min(ordered).alias("low"), F.max(ordered).alias("high")).filter("low < high")
     ends = ends.select("key", *(F.col(end).bitwiseXOR(mask).alias(end) for end in ("low", "high")))
-    both = rows.select("key", F.col("fingerprint").alias("a")).join(ends, "key")
+    both = rows.select("key", F.col("fingerprint").alias("a")).join(_shuffled(ends), "key")
     link = F.when((F.col("a") != F.col("low")) & _close("a", "low"), F.col("low"))
     link = link.when((F.col("a") != F.col("high")) & _close("a", "high"), F.col("high"))
     return both.select("a", link.alias("b")).filter("b IS NOT NULL")
@@ -237,18 +244,18 @@ def near_roots(prints: DataFrame) -> DataFrame:
     keyed = _keys_of(rooted)
     of_group = _keys_of(rooted, "group")
     several = of_group.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
-    members = stored(keyed.join(several.select("key"), "key"))
+    members = stored(keyed.join(_shuffled(several.select("key")), "key"))
     groups = stored(connected(_between(_stars(members), rooted)))
     rooted = stored(_grouped(rooted, groups))
 
-    members = stored(members.join(rooted, "fingerprint"))
+    members = stored(members.join(_shuffled(rooted), "fingerprint"))
     sizes = members.groupBy("key", "group").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("size", "group"))["group"].alias("largest"))
-    outer = sizes.join(largest, "key").filter("group != largest").select("key", "group")
-    outside = stored(members.join(outer, ["key", "group"]))
+    outer = sizes.join(_shuffled(largest), "key").filter("group != largest").select("key", "group")
+    outside = stored(members.join(_shuffled(outer), ["key", "group"]))
     outside = outside.select("key", F.col("fingerprint").alias("a"), F.col("group").alias("group_a"))
     others = members.select("key", F.col("fingerprint").alias("b"), F.col("group").alias("group_b"))
-    links = outside.join(others, "key").filter((F.col("group_a") != F.col("group_b")) & _close("a", "b"))
+    links = outside.join(_shuffled(others), "key").filter((F.col("group_a") != F.col("group_b")) & _close("a", "b"))
     groups = stored(connected(links.select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))))
     return _grouped(rooted, groups).select("fingerprint", F.col("group").alias("root"))
 
@@ -257,7 +264,7 @@ def _between(links: DataFrame, rooted: DataFrame) -> DataFrame:
     """Links (a, b) of fingerprints as links between their groups, by ``rooted`` (fingerprint, group)."""
     for end in ("a", "b"):
         group = rooted.select(F.col("fingerprint").alias(end), "group")
-        links = links.join(group, end).drop(end).withColumnRenamed("group", f"group_{end}")
+        links = links.join(_shuffled(group), end).drop(end).withColumnRenamed("group", f"group_{end}")
     return links.select(F.col("group_a").alias("a"), F.col("group_b").alias("b")).filter("a != b")
 
 
@@ -298,11 +305,11 @@ def simhash_groups(
     """
     prints = stored(fingerprints(texts(docs, id_col, text_col), width))
     classes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("smallest")))
-    rooted = classes.join(stored(near_roots(classes)), "fingerprint")
+    rooted = classes.join(_shuffled(stored(near_roots(classes))), "fingerprint")
     smallest = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    groups = rooted.join(smallest, "root").select("fingerprint", "component_id")
+    groups = rooted.join(_shuffled(smallest), "root").select("fingerprint", "component_id")
     hexed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
-    return prints.join(groups, "fingerprint").select("doc_id", hexed, "component_id")
+    return prints.join(_shuffled(groups), "fingerprint").select("doc_id", hexed, "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
