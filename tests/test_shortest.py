@@ -168,6 +168,30 @@ def test_pairs_are_dealt_out_by_their_number(spark):
     assert tasks >= 4 and largest < pairs / 2
 
 
+def test_pairs_shuffle_a_tick_about_once(spark):
+    """One shuffle for both sides, in spans that are as long as their number of pairs allows."""
+
+    def spans(ticks_of_block):
+        counts = spark.range(1_000).select(F.col("id").alias("block"), F.lit(ticks_of_block).alias("count"))
+        return shortest._pair_spans(counts)
+
+    ticks = spark.range(6_000).select(
+        F.lit("S").alias("symbol"),
+        F.pmod(F.xxhash64("id"), F.lit(50)).cast("double").alias("price"),
+        F.timestamp_millis(F.col("id") * 4_000 - 9_000_000).alias("event_time"),
+    )
+    rows = shortest.forward_pairs(ticks, REFERENCE)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1
+    assert plan.count("Exchange hashpartitioning") + plan.count("Exchange SinglePartition") == 1 and "Join" not in plan
+    assert rows.count() == 5 * 6_000 - 15 + 1  # and the last tick without one
+    assert spans(5) == (1, shortest.MOST_QUARTERS)
+    tasks, quarters = spans(500)
+    assert tasks >= 50 and 4 <= quarters <= 16
+    tasks, quarters = spans(50_000)
+    assert tasks >= 500 and quarters == shortest.QUARTERS
+
+
 def test_pairs_in_the_form_shown(spark, make_ticks):
     ticks = make_ticks((0, 1.004), (1, 2.006), (20.5, 3.0), (1, 5.0, None))
     shown = shortest.forward_pairs(ticks, REFERENCE, lambda rows: rows.withColumn("price", F.round("price", 2)))
