@@ -168,6 +168,27 @@ def test_shortest_in_waves(waves):
     same(actual, batch.filter(F.col("timestamp") < F.lit(watermark)))
 
 
+def test_equal_ticks_meet_once_in_the_pairs(spark, make_ticks, tmp_path):
+    """40 ticks, each of them 25 times, some without a symbol: joined as often as one of each."""
+    ticks = make_ticks(*[(3 * i, float(i % 7), "S" if i % 10 else None) for i in range(40)])
+    ticks = ticks.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(25)))).drop("copy")
+    ticks.write.parquet(f"{tmp_path}/in")
+    stream = stream_shortest.stream_shortest_pairs(spark.readStream.schema(TICK).parquet(f"{tmp_path}/in"), REFERENCE)
+    sink = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").outputMode("append")
+    query = run_available(sink, f"{tmp_path}/checkpoint", spark)
+    updated = sum(
+        state["numRowsUpdated"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+        if state["operatorName"] == "symmetricHashJoin"
+    )
+    assert 0 < updated <= 3 * 40
+    watermark = last_time(ticks) - REFERENCE.shortest_delay - REFERENCE.horizon
+    batch = shortest.shortest_windows(ticks, REFERENCE).filter(F.col("timestamp") < F.lit(watermark))
+    assert batch.count() > 20
+    same(spark.read.schema(stream.schema).parquet(f"{tmp_path}/out"), batch)
+
+
 def test_windows_close_without_a_later_tick_in_their_panes(spark, make_ticks, tmp_path):
     """Ticks far apart: every window between them comes out once the next tick moves the watermark on."""
     ticks = make_ticks((3, 1.0), (4, 2.0, "T"), (1_000, 3.0), (1_031, 4.0)).withColumn(
